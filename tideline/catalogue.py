@@ -107,7 +107,7 @@ def lineitem_text(spark, sf) -> DataFrame:
         F.col("l_linenumber").cast("string").alias("line_text"),
         stored(money("l_quantity")).alias("quantity_text"),
         stored(money("l_extendedprice")).alias("price_text"),
-        stored(money(F.col("l_extendedprice") / 4)).alias("quarter_text"),
+        stored(money(F.col("l_quantity") / 4)).alias("quarter_text"),
         F.when(F.col("l_returnflag") == "N", "nan").otherwise(F.col("l_returnflag")).alias("flag_text"),
         F.when(F.col("l_linestatus") == "O", F.col("l_shipdate").cast("string"))
         .otherwise(F.date_format("l_shipdate", "yyyy/MM/dd"))
@@ -122,7 +122,7 @@ def typed_from_strings(spark, sf):
         ty.try_int(F.col("line_text")).alias("line_number"),
         ty.clean_double(F.col("quantity_text")).alias("quantity"),
         ty.strict_double(F.col("price_text")).alias("price"),
-        ty.try_int(F.col("quarter_text")).alias("quarter_price"),
+        ty.try_int(F.col("quarter_text")).alias("quarter_quantity"),
         ty.positive_flag(ty.try_double(F.col("quantity_text"))).alias("has_quantity"),
         ty.positive_flag_nan_high(ty.try_double(F.col("quantity_text"))).alias("has_quantity_literal"),
         ty.null_if_marker(F.col("flag_text")).alias("flag"),

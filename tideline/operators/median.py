@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 from tideline.session import written
 
 
-def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[name].eqNullSafe(right[name]) for name in names])
-
-
 def exact_medians(df: DataFrame, by: Sequence[str], values: dict[str, Column]) -> DataFrame:
     """Median of each value per group; nulls and NaN are left out.
 
@@ -46,8 +42,9 @@ def exact_medians(df: DataFrame, by: Sequence[str], values: dict[str, Column]) -
     middle = sums.where((F.col("_before") < high) & (F.col("_upto_part") >= low))
     middle = middle.select(*group, "_part", "_before", low.alias("_low"), high.alias("_high"))
 
-    inside = parts.join(middle, _same(parts, middle, [*group, "_part"]))
-    inside = inside.select(*[parts[name] for name in [*group, "_part", "_v", "_n"]], "_before", "_low", "_high")
+    same = [F.col(f"p.{name}").eqNullSafe(F.col(f"m.{name}")) for name in [*group, "_part"]]
+    inside = parts.alias("p").join(middle.alias("m"), reduce(lambda a, b: a & b, same))
+    inside = inside.select("p.*", "_before", "_low", "_high")
     upto = F.col("_before") + F.sum("_n").over(Window.partitionBy(*group, "_part").orderBy("_v"))
     ranked = inside.withColumn("_upto", upto)
 

@@ -38,5 +38,5 @@ def median_summary(
     """Row count and exact medians per group. Groups without any value keep null medians."""
     counts = df.groupBy(by).agg(F.count("*").alias(count_name))
     middle = exact_medians(df, [by], medians)
-    joined = counts.join(middle, counts[by].eqNullSafe(middle[by]), "left")
-    return joined.select(counts[by], count_name, *[middle[name] for name in medians]).orderBy(*order_by)
+    joined = counts.alias("c").join(middle.alias("m"), F.col(f"c.{by}").eqNullSafe(F.col(f"m.{by}")), "left")
+    return joined.select(f"c.{by}", count_name, *medians).orderBy(*order_by)

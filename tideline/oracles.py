@@ -63,7 +63,7 @@ ORACLES["typed_from_strings"] = f"""
                CAST(l_linenumber AS VARCHAR) AS line_text,
                CASE WHEN l_linenumber = 7 THEN 'nan' ELSE CAST({cents('l_quantity')} AS VARCHAR) END AS quantity_text,
                CASE WHEN l_linenumber = 7 THEN 'nan' ELSE CAST({cents('l_extendedprice')} AS VARCHAR) END AS price_text,
-               l_extendedprice / 4 AS quarter,
+               l_quantity / 4 AS quarter,
                l_linenumber, l_returnflag, l_shipdate
         FROM lineitem
     )
@@ -72,7 +72,7 @@ ORACLES["typed_from_strings"] = f"""
            CASE WHEN NOT isnan(CAST(quantity_text AS DOUBLE)) THEN CAST(quantity_text AS DOUBLE) END AS quantity,
            CASE WHEN NOT isnan(CAST(price_text AS DOUBLE)) THEN CAST(price_text AS DOUBLE) END AS price,
            CASE WHEN l_linenumber <> 7
-                THEN TRY_CAST(CAST(CAST({cents('quarter')} AS VARCHAR) AS DOUBLE) AS INTEGER) END AS quarter_price,
+                THEN TRY_CAST(CAST(CAST({cents('quarter')} AS VARCHAR) AS DOUBLE) AS INTEGER) END AS quarter_quantity,
            l_linenumber <> 7 AS has_quantity,
            CASE WHEN CAST(quantity_text AS DOUBLE) > 0 THEN TRUE ELSE FALSE END AS has_quantity_literal,
            CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS flag,

@@ -14,6 +14,7 @@ import uuid
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -43,6 +44,16 @@ def _read_like(spark: SparkSession, path: str, like: StructType) -> DataFrame:
     return spark.read.schema(StructType([known.get(field.name, field) for field in found])).parquet(path)
 
 
+def _stored(spark: SparkSession, path: str, like: StructType) -> DataFrame | None:
+    """The table at ``path``; None while nothing has been committed there."""
+    try:
+        return _read_like(spark, path, like)
+    except AnalysisException as error:
+        if error.getCondition() in {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}:
+            return None
+        raise
+
+
 def upserted(current: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``current`` with the rows of ``incoming`` replacing or joining it; one row per key each."""
     kept = current.join(incoming, _same_key(current, incoming, keys), "left_anti")
@@ -72,21 +83,22 @@ def upsert(
     """
     work = f"{path}.batches/{batch or uuid.uuid4().hex}"
     layout = [*partitions, BUCKET]
+    if not _finished(spark, f"{work}/incoming"):
+        newest = latest_per_key(incoming, keys, order_by)
+        newest = newest.withColumn(BUCKET, _bucket(bucket_by or keys, buckets))
+        newest.repartition(*layout).write.mode("overwrite").parquet(f"{work}/incoming")
+    fresh = spark.read.parquet(f"{work}/incoming")
     if not _finished(spark, f"{work}/merged"):
-        if not _finished(spark, f"{work}/incoming"):
-            newest = latest_per_key(incoming, keys, order_by)
-            newest = newest.withColumn(BUCKET, _bucket(bucket_by or keys, buckets))
-            newest.write.mode("overwrite").parquet(f"{work}/incoming")
-        fresh = spark.read.parquet(f"{work}/incoming")
-        merged = fresh
-        if _finished(spark, path):
+        current = _stored(spark, path, fresh.schema)
+        if current is None:
+            merged = fresh
+        else:
             # At most one number per bucket reaches the driver; it prunes the table's folders.
             touched = [row[0] for row in fresh.select(BUCKET).distinct().collect()]
-            current = _read_like(spark, path, fresh.schema).where(F.col(BUCKET).isin(touched))
-            merged = upserted(current, fresh, [BUCKET, *keys])
-        merged.repartition(*layout).write.mode("overwrite").partitionBy(*layout).parquet(f"{work}/merged")
-    incoming_schema = spark.read.parquet(f"{work}/incoming").schema
-    replacement = _read_like(spark, f"{work}/merged", incoming_schema)
+            merged = upserted(current.where(F.col(BUCKET).isin(touched)), fresh, [BUCKET, *keys])
+            merged = merged.repartition(*layout)
+        merged.write.mode("overwrite").partitionBy(*layout).parquet(f"{work}/merged")
+    replacement = _read_like(spark, f"{work}/merged", fresh.schema)
     writer = replacement.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*layout).parquet(path)
     return f"{work}/incoming"
