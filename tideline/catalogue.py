@@ -719,6 +719,11 @@ def cleaned_permits(spark, sf) -> DataFrame:
     return permits.cleaned(permits.typed(raw_permits(spark, sf)))
 
 
+def stored_permits(spark, sf) -> DataFrame:
+    """The cleaned table written once, for models that read it more than once."""
+    return plain.full_refresh(cleaned_permits(spark, sf), fresh_dir(spark, "permits-cleaned"))
+
+
 def flat(df: DataFrame) -> DataFrame:
     return df.withColumn("location", F.col("location.lon") + F.col("location.lat"))
 
@@ -746,7 +751,7 @@ def permits_by_date(spark, sf):
 
 def _by_category(category: str) -> Query:
     def by_category(spark, sf):
-        return permits.by_date_and(cleaned_permits(spark, sf), spine(spark), category, AS_OF)
+        return permits.by_date_and(stored_permits(spark, sf), spine(spark), category, AS_OF)
 
     by_category.__name__ = f"permits_by_date_and_{category}"
     return by_category
@@ -754,7 +759,7 @@ def _by_category(category: str) -> Query:
 
 def _rolling_category(category: str) -> Query:
     def rolling_category(spark, sf):
-        per_day = permits.by_date_and(cleaned_permits(spark, sf), spine(spark), category, AS_OF)
+        per_day = permits.by_date_and(stored_permits(spark, sf), spine(spark), category, AS_OF)
         return permits.rolling_by(per_day, category, WARMUP_FROM, REPORT_FROM)
 
     rolling_category.__name__ = f"rolling_permits_by_{category}"

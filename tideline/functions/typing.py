@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 # Fixed value: the text that stands for a missing number in landed string tables.
 NULL_MARKERS = ("nan",)
 
+# The expressions here stay short on purpose: a wide table repeats them per column, and
+# the JVM leaves a generated method above 8000 bytes of code uncompiled.
 # Year-month-day with optional time. Bare years, bare hours and padded text are not
 # timestamps here although Spark's cast would take them.
+_NUMBER_SUFFIX = r"[0-9.][dDfF]\s*$"
 _TIMESTAMP_SHAPE = r"^\d+([-/])\d+\1\d+(?:[ T]\d+:\d+.*)?$"
 
 
@@ -27,15 +30,13 @@ def not_marker(text: Column, markers: Sequence[str] = NULL_MARKERS) -> Column:
 def try_double(text: Column) -> Column:
     """Text to double, null when it is no number. NaN and infinities are kept.
 
-    Java's number suffixes (``1d``, ``2.5f``) are refused; ``inf`` is not a suffix.
+    Java's number suffixes (``1d``, ``2.5f``) are refused.
     """
-    trimmed = F.lower(F.trim(text))
-    suffixed = trimmed.endswith("d") | (trimmed.endswith("f") & ~trimmed.endswith("inf"))
-    return F.when(~suffixed, text.try_cast("double"))
+    return F.when(~text.rlike(_NUMBER_SUFFIX), text).try_cast("double")
 
 
 def drop_nan(number: Column) -> Column:
-    return F.when(~F.isnan(number), number)
+    return F.nullif(number, F.lit(float("nan")))
 
 
 def clean_double(text: Column) -> Column:
@@ -60,8 +61,7 @@ def try_int(text: Column) -> Column:
 
 def try_timestamp(text: Column) -> Column:
     """Text to a zone-less timestamp, null when it is none."""
-    dashed = F.regexp_replace(text, r"^(\d+)/(\d+)/", "$1-$2-")
-    return F.when(text.rlike(_TIMESTAMP_SHAPE), dashed).try_cast("timestamp_ntz")
+    return F.when(text.rlike(_TIMESTAMP_SHAPE), F.replace(text, F.lit("/"), F.lit("-"))).try_cast("timestamp_ntz")
 
 
 def positive_flag(number: Column) -> Column:

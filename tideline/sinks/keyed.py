@@ -86,24 +86,31 @@ def upsert(
     if not _finished(spark, f"{work}/incoming"):
         newest = latest_per_key(incoming, keys, order_by)
         newest = newest.withColumn(BUCKET, _bucket(bucket_by or keys, buckets))
-        newest.repartition(*layout).write.mode("overwrite").parquet(f"{work}/incoming")
+        newest.write.mode("overwrite").parquet(f"{work}/incoming")
     fresh = spark.read.parquet(f"{work}/incoming")
-    if not _finished(spark, f"{work}/merged"):
-        current = _stored(spark, path, fresh.schema)
-        if current is None:
-            merged = fresh
-        else:
-            # At most one number per bucket reaches the driver; it prunes the table's folders.
-            touched = [row[0] for row in fresh.select(BUCKET).distinct().collect()]
-            merged = upserted(current.where(F.col(BUCKET).isin(touched)), fresh, [BUCKET, *keys])
-            merged = merged.repartition(*layout)
-        merged.write.mode("overwrite").partitionBy(*layout).parquet(f"{work}/merged")
-    replacement = _read_like(spark, f"{work}/merged", fresh.schema)
-    writer = replacement.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*layout).parquet(path)
+    if _finished(spark, f"{work}/merged"):
+        replacement = spark.read.parquet(f"{work}/merged")
+    elif (current := _stored(spark, path, fresh.schema)) is None:
+        replacement = fresh.repartition(*layout)
+    else:
+        current = current.where(F.col(BUCKET).isin(_touched(fresh)))
+        merged = upserted(current, fresh, [BUCKET, *keys])
+        merged.write.mode("overwrite").parquet(f"{work}/merged")
+        replacement = spark.read.parquet(f"{work}/merged").repartition(*layout)
+    _replace_folders(replacement, path, layout)
     return f"{work}/incoming"
 
 
+def _touched(fresh: DataFrame) -> list[int]:
+    """Bucket numbers of a batch, to prune folders with; there are no more of them than buckets."""
+    return [row[0] for row in fresh.select(BUCKET).distinct().collect()]
+
+
+def _replace_folders(df: DataFrame, path: str, layout: Sequence[str]) -> None:
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*layout).parquet(path)
+
+
 def staged_merge(
     spark: SparkSession,
     staging_path: str,
@@ -117,13 +124,13 @@ def staged_merge(
     buckets: int = 8,
     batch: str | None = None,
 ) -> None:
-    """Stage landed slices by parameter, then merge all stages of the touched keys into the target.
+    """Stage landed slices by parameter, then merge all stages of the touched buckets into the target.
 
     Staging keeps one row per stage, slice and key, so a replayed slice replaces itself and
-    a later slice with an empty column cannot erase an earlier value. Of staging only the
-    buckets of the new keys are read.
+    a later slice with an empty column cannot erase an earlier value. Staging and target
+    share their buckets: those the batch touches are merged anew from all stages and
+    replace the target's, which therefore need not be read.
     """
-    batch = batch or uuid.uuid4().hex
     landed = upsert(
         spark,
         staging_path,
@@ -136,12 +143,9 @@ def staged_merge(
         batch=batch,
     )
     fresh = spark.read.parquet(landed)
-    new_keys = fresh.select(BUCKET, *keys).distinct()
-    touched = [row[0] for row in new_keys.select(BUCKET).distinct().collect()]
-    staged = _read_like(spark, staging_path, fresh.schema).where(F.col(BUCKET).isin(touched))
-    affected = staged.join(new_keys, _same_key(staged, new_keys, [BUCKET, *keys]), "left_semi").drop(BUCKET)
-    merged = latest_non_null(affected, keys, merge_columns, order_by)
-    upsert(spark, target_path, merged, keys, order_by, buckets=buckets, batch=batch)
+    staged = _read_like(spark, staging_path, fresh.schema).where(F.col(BUCKET).isin(_touched(fresh)))
+    merged = latest_non_null(staged, [BUCKET, *keys], merge_columns, order_by)
+    _replace_folders(merged.repartition(BUCKET), target_path, [BUCKET])
 
 
 def merge_into(incoming: DataFrame, table: str, keys: Sequence[str], order_by: Sequence[str]) -> None:
