@@ -4,8 +4,8 @@ from conftest import SF_DIR
 import __spark_entry__ as entry
 import verify
 
-# Their job is to write; what they return reads back the result.
-PLAN_FREE = {"permit_ingest"}
+
+
 
 
 @pytest.fixture(scope="module")

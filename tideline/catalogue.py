@@ -93,9 +93,57 @@ def slice_cap(spark, sf):
     return calendar.cap_per_slice(events, ["slice_date", "event_type"], ["ts", "event_id"], 5)
 
 
+@query
+def slice_backfill(spark, sf):
+    """Landed rows of every slice of a restricted run; slices without rows count zero."""
+    grid = calendar.slice_grid(
+        spark,
+        "2024-01-01",
+        "2024-01-31",
+        categories={"event_type": ["click", "purchase", "refund"]},
+        only_from="2024-01-10",
+        only_to="2024-01-16",
+    )
+    events = table(spark, sf, "events")
+    landed_rows = rollup.daily(events, F.col("ts"), {"n_landed": F.count("*")}, ["event_type"])
+    counted = grid.drop("slice_end").join(
+        landed_rows.withColumnRenamed("date", "slice_start"), ["slice_start", "event_type"], "left"
+    )
+    return counted.withColumn("n_landed", F.coalesce("n_landed", F.lit(0)))
+
+
 # --- typing and mapping
 
 
+@query
+def parquet_glob(spark, sf):
+    return landed.read_table(spark, f"{sf}/par*.parquet").groupBy("p_type").agg(F.count("*").alias("n"))
+
+
+@query
+def sql_text(spark, sf):
+    """SQL text over named tables."""
+    names = ["customer", "nation", "region"]
+    return spark.sql(
+        "SELECT r_name, count(*) AS n_customers FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey "
+        "JOIN {region} ON n_regionkey = r_regionkey GROUP BY r_name",
+        **{name: table(spark, sf, name) for name in names},
+    )
+
+
+@query
+def stored_as_text(spark, sf):
+    """Numbers stored as text with ``nan`` for missing ones, read back and typed."""
+    price = F.when(F.col("l_linenumber") != 7, F.col("l_extendedprice"))
+    lines = table(spark, sf, "lineitem").select("l_returnflag", plain.stored_text(price).alias("price"))
+    stored = plain.full_refresh(lines, fresh_dir(spark, "text"))
+    return stored.groupBy("l_returnflag").agg(
+        F.count("*").alias("n"),
+        F.count(F.when(~ty.not_marker(F.col("price")), 1)).alias("n_marked"),
+        money_sum(ty.clean_double(F.col("price"))).alias("total"),
+    )
+
+
 def lineitem_text(spark, sf) -> DataFrame:
     """Line items as a string table, with ``nan`` for the numbers of the seventh line."""
 

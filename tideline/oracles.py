@@ -26,6 +26,14 @@ def exact_sum(column: str) -> str:
     return f"CAST(SUM({cents(column)}) AS DOUBLE)"
 
 
+def _number(column: str) -> str:
+    return f"nullif(CAST({column} AS DOUBLE), 'nan'::DOUBLE)"
+
+
+def _whole(column: str) -> str:
+    return f"TRY_CAST(round_even(TRY_CAST({column} AS DOUBLE), 0) AS INTEGER)"
+
+
 # --- calendars and slices
 
 ORACLES["calendar_days"] = """
@@ -55,6 +63,17 @@ ORACLES["slice_cap"] = """
     WHERE rn <= 5
 """
 
+ORACLES["slice_backfill"] = """
+    WITH days AS (
+        SELECT CAST(d AS DATE) AS d
+        FROM generate_series(DATE '2024-01-10', DATE '2024-01-16', INTERVAL 1 DAY) AS g(d)
+    )
+    SELECT CAST(d AS VARCHAR) AS slice_start, kind AS event_type, COUNT(event_id) AS n_landed
+    FROM days CROSS JOIN (SELECT unnest(['click', 'purchase', 'refund']) AS kind)
+    LEFT JOIN events ON CAST(ts AS DATE) = d AND event_type = kind
+    GROUP BY d, kind
+"""
+
 # --- typing and mapping
 
 ORACLES["typed_from_strings"] = f"""
@@ -67,14 +86,13 @@ ORACLES["typed_from_strings"] = f"""
                l_linenumber, l_returnflag, l_shipdate
         FROM lineitem
     )
-    SELECT TRY_CAST(TRY_CAST(order_text AS DOUBLE) AS INTEGER) AS order_key,
-           TRY_CAST(TRY_CAST(line_text AS DOUBLE) AS INTEGER) AS line_number,
-           CASE WHEN NOT isnan(CAST(quantity_text AS DOUBLE)) THEN CAST(quantity_text AS DOUBLE) END AS quantity,
-           CASE WHEN NOT isnan(CAST(price_text AS DOUBLE)) THEN CAST(price_text AS DOUBLE) END AS price,
+    SELECT {_whole('order_text')} AS order_key,
+           {_whole('line_text')} AS line_number,
+           {_number('quantity_text')} AS quantity, {_number('price_text')} AS price,
            CASE WHEN l_linenumber <> 7
                 THEN TRY_CAST(CAST(CAST({cents('quarter')} AS VARCHAR) AS DOUBLE) AS INTEGER) END AS quarter_quantity,
            l_linenumber <> 7 AS has_quantity,
-           CASE WHEN CAST(quantity_text AS DOUBLE) > 0 THEN TRUE ELSE FALSE END AS has_quantity_literal,
+           COALESCE(CAST(quantity_text AS DOUBLE) > 0, FALSE) AS has_quantity_literal,
            CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS flag,
            CAST(l_shipdate AS VARCHAR) AS shipped_at,
            CAST(NULL AS VARCHAR) AS not_a_time
@@ -112,6 +130,20 @@ ORACLES["rule_category"] = """
     FROM part
 """
 
+ORACLES["parquet_glob"] = "SELECT p_type, COUNT(*) AS n FROM part GROUP BY p_type"
+
+ORACLES["sql_text"] = """
+    SELECT r_name, COUNT(*) AS n_customers
+    FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+    GROUP BY r_name
+"""
+
+ORACLES["stored_as_text"] = f"""
+    SELECT l_returnflag, COUNT(*) AS n, COUNT(*) FILTER (WHERE l_linenumber = 7) AS n_marked,
+           CAST(SUM({cents('l_extendedprice')}) FILTER (WHERE l_linenumber <> 7) AS DOUBLE) AS total
+    FROM lineitem GROUP BY l_returnflag
+"""
+
 # --- lifecycle facts
 
 LIFE = f"""
@@ -162,9 +194,8 @@ ORACLES["lifecycle_by_date"] = f"""
     ),
     p AS (
         SELECT s.date, COUNT(o_orderkey) AS n_placed, COALESCE(SUM(quantity), 0) AS qty_placed,
-               SUM(CASE WHEN s.date BETWEEN CAST(o_orderdate AS DATE)
-                             AND COALESCE(CAST(first_ship AS DATE), DATE '2001-08-01') - 1
-                         AND o_orderstatus NOT IN ('F') THEN quantity END) AS qty_waiting
+               SUM(quantity) FILTER (WHERE s.date < COALESCE(CAST(first_ship AS DATE), DATE '2001-08-01')
+                                       AND o_orderstatus <> 'F') AS qty_waiting
         FROM spine s LEFT JOIN life ON s.date = CAST(o_orderdate AS DATE) GROUP BY 1
     ),
     e AS (
@@ -508,12 +539,8 @@ RAW = f"""
 """
 
 
-def _number(column: str) -> str:
-    return f"CASE WHEN NOT isnan(CAST({column} AS DOUBLE)) THEN CAST({column} AS DOUBLE) END"
-
-
 TYPED = f"""
-    SELECT TRY_CAST(TRY_CAST(key_text AS DOUBLE) AS INTEGER) AS ivr_number, code AS application_number, status,
+    SELECT {_whole('key_text')} AS ivr_number, code AS application_number, status,
            kind AS type, description, NULLIF(work_text, 'nan') AS work, address,
            TRY_CAST(set_up_text AS TIMESTAMP) AS set_up_at, TRY_CAST(review_text AS TIMESTAMP) AS under_review_at,
            TRY_CAST(issued_text AS TIMESTAMP) AS issued_at, TRY_CAST(final_text AS TIMESTAMP) AS final_at,
@@ -523,7 +550,7 @@ TYPED = f"""
            {_number('units_text')} AS new_units_amt, {_number('area_text')} AS total_sqft_amt,
            COALESCE({_number('area_text')} > 0, FALSE) AS has_square_footage,
            {_number('stories_text')} AS stories_amt,
-           TRY_CAST(TRY_CAST(customer_text AS DOUBLE) AS INTEGER) AS customer,
+           {_whole('customer_text')} AS customer,
            {_number('lon_text')} AS longitude, {_number('lat_text')} AS latitude,
            {_number('lon_text')} + {_number('lat_text')} AS location,
            TRY_CAST(loaded_text AS TIMESTAMP) AS updated_at
@@ -586,13 +613,13 @@ def _as_text(names: list[str]) -> str:
 ORACLES["permits_typed"] = f"SELECT * REPLACE ({_as_text(_SHOWN)}) FROM ({TYPED})"
 ORACLES["permits_cleaned"] = f"SELECT * REPLACE ({_as_text([*_SHOWN, 'last_status_update_at'])}) FROM ({CLEANED})"
 ORACLES["permits_typed_literal_flag"] = f"""
-    SELECT CASE WHEN CAST(area_text AS DOUBLE) > 0 THEN TRUE ELSE FALSE END AS has_square_footage, COUNT(*) AS n,
+    SELECT COALESCE(CAST(area_text AS DOUBLE) > 0, FALSE) AS has_square_footage, COUNT(*) AS n,
            COUNT({_number('area_text')}) AS n_area
     FROM ({RAW}) GROUP BY 1
 """
 
-_WAITING = """s.date BETWEEN CAST(set_up_at AS DATE) AND COALESCE(CAST(issued_at AS DATE), DATE '2001-08-01') - 1
-              AND status NOT IN ('Expired', 'Abandoned')"""
+_WAITING = """s.date >= CAST(set_up_at AS DATE) AND s.date < COALESCE(CAST(issued_at AS DATE), DATE '2001-08-01')
+              AND status <> 'Expired' AND status <> 'Abandoned'"""
 
 
 def _sides(category: str | None) -> str:
@@ -657,7 +684,7 @@ for _category in ("function_type", "structure_type", "work_type"):
     ORACLES[f"rolling_permits_by_{_category}"] = f"""{_combined},
     w AS (
         SELECT d.date, k.type, AVG(COALESCE(c.total_sqft_issued_amt, 0)) OVER (
-            PARTITION BY k.type ORDER BY d.date DESC ROWS BETWEEN CURRENT ROW AND 365 FOLLOWING) AS value
+            PARTITION BY k.type ORDER BY d.date ROWS 365 PRECEDING) AS value
         FROM (SELECT DISTINCT date FROM c WHERE date > DATE '1996-01-01') d
         CROSS JOIN (SELECT DISTINCT {_category} AS type FROM c WHERE {_category} IS NOT NULL) k
         LEFT JOIN c ON c.date = d.date AND c.{_category} = k.type
@@ -672,7 +699,7 @@ ORACLES["this_week_permits"] = f"""
            description AS Description
     FROM ({CLEANED})
     WHERE CAST(issued_at AS DATE) BETWEEN DATE '2001-07-25' AND DATE '2001-08-01' AND total_sqft_amt > 0
-    ORDER BY CAST(issued_at AS DATE) DESC, CAST(total_sqft_amt AS INTEGER) DESC
+    ORDER BY Issued DESC, round_even(total_sqft_amt, 0) DESC, Construction_Value, Description
 """
 
 ORACLES["top_neighborhoods"] = f"""

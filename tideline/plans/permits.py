@@ -318,7 +318,13 @@ def this_week(facts: DataFrame, as_of: D.AsOf = None, days_back: int = 7) -> Dat
         F.col("new_units_amt").alias("New_Residential_Units"),
         F.col("value").alias("Construction_Value"),
         F.col("description").alias("Description"),
-    ).orderBy(F.desc_nulls_last("Issued"), ty.round_to_int(F.col("New_Square_Feet")).desc_nulls_last())
+    ).orderBy(
+        F.desc_nulls_last("Issued"),
+        ty.round_to_int(F.col("New_Square_Feet")).desc_nulls_last(),
+        # Beyond the report's order, so that ties fall the same way and a sort range can be split.
+        F.asc_nulls_last("Construction_Value"),
+        F.asc_nulls_last("Description"),
+    )
 
 
 def top_neighborhoods(loaded: DataFrame, limit: int = 20) -> DataFrame:

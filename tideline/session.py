@@ -19,6 +19,7 @@ def local_session(cores: str = "*", app: str = "tideline", **conf: str) -> Spark
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")
+        # The JVM never compiles methods above 8000 bytes; wide projections are split instead.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for key, value in conf.items():
