@@ -7,6 +7,7 @@ An element is passed around as its start tag plus content, without the end tag.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from html.entities import name2codepoint
 
@@ -19,6 +20,7 @@ _COMMENT = r"(?s)<!--.*?-->"
 _RAW_ELEMENT = r"(?is)<(?:script\b.*?</script|style\b.*?</style|template\b.*?</template)\s*>"
 _ANY_TAG = rf"<[!?/a-zA-Z]{_ATTRS}>"
 _TEXT_OR_REFERENCE = r"(&(?:#\d+|#[xX][0-9a-fA-F]+|\w+);|[^&]+|&)"
+_SPACE = "".join(chr(code) for code in range(0x10000) if chr(code).isspace())
 _TO_END = 2**31 - 1
 
 
@@ -67,7 +69,8 @@ def decode_references(text: Column) -> Column:
 
 
 def strip_space(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    """Without white space of any script at both ends."""
+    return F.btrim(text, F.lit(_SPACE))
 
 
 def visible_markup(html: Column) -> Column:
@@ -115,8 +118,22 @@ def attribute(markup: Column, name: str) -> Column:
 def _split_at_end(markup: Column, tag: Column) -> Column:
     """``struct<inside, after>`` for markup that begins with a start tag called ``tag``.
 
-    ``inside`` ends before the matching end tag, or runs on when there is none.
+    ``inside`` ends before the matching end tag, or runs on when there is none. The first
+    end tag is the matching one unless another element of that name opens before it.
     """
+    end_tag = F.concat(F.lit("(?i)</"), tag, F.lit(r"\b[^>]*>"))
+    nested = F.concat(F.lit("(?is).<"), tag, F.lit(r"\b"))
+
+    def cut(halves: Column) -> Column:
+        inside, after = F.element_at(halves, 1), F.coalesce(F.try_element_at(halves, F.lit(2)), F.lit(""))
+        plain = F.struct(inside.alias("inside"), after.alias("after"))
+        return F.when(F.rlike(inside, nested), _split_at_balanced_end(markup, tag)).otherwise(plain)
+
+    return let(F.split(markup, end_tag, 2), cut)
+
+
+def _split_at_balanced_end(markup: Column, tag: Column) -> Column:
+    """As ``_split_at_end``, counting nested elements of the same name."""
     start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("seen"), F.lit(0).alias("end"))
 
     def step(acc: Column, piece: Column) -> Column:
@@ -138,14 +155,16 @@ def _split_at_end(markup: Column, tag: Column) -> Column:
     return let(F.split(markup, F.concat(F.lit("(?i)(?=</?"), tag, F.lit(r"\b)"))), cut)
 
 
-def _tag_name(markup: Column) -> Column:
-    return F.lower(F.regexp_extract(markup, r"^<(\w+)", 1))
+def _tag_name(markup: Column, pattern: str) -> Column:
+    """Name of the tag the markup begins with; a constant when the pattern says it."""
+    fixed = re.match(r"<\(\?i:(\w+)\)", pattern)
+    return F.lit(fixed.group(1)) if fixed else F.lower(F.regexp_extract(markup, r"^<(\w+)", 1))
 
 
 def elements(markup: Column, pattern: str) -> Column:
     """All elements whose start tag matches ``pattern``, in order of appearance."""
     starts = F.filter(F.split(markup, f"(?={pattern})"), lambda piece: piece.rlike(f"^{pattern}"))
-    return F.transform(starts, lambda piece: _split_at_end(piece, _tag_name(piece))["inside"])
+    return F.transform(starts, lambda piece: _split_at_end(piece, _tag_name(piece, pattern))["inside"])
 
 
 def first_element(markup: Column, pattern: str) -> Column:
@@ -154,7 +173,10 @@ def first_element(markup: Column, pattern: str) -> Column:
         F.regexp_instr(markup, F.lit(pattern)),
         lambda at: F.when(
             at > 0,
-            let(markup.substr(at, F.lit(_TO_END)), lambda rest: _split_at_end(rest, _tag_name(rest))["inside"]),
+            let(
+                markup.substr(at, F.lit(_TO_END)),
+                lambda rest: _split_at_end(rest, _tag_name(rest, pattern))["inside"],
+            ),
         ),
     )
 
@@ -163,7 +185,9 @@ def without_elements(markup: Column, pattern: str) -> Column:
     """Markup with every element whose start tag matches ``pattern`` cut out."""
     kept = F.transform(
         F.split(markup, f"(?={pattern})"),
-        lambda piece: F.when(piece.rlike(f"^{pattern}"), _split_at_end(piece, _tag_name(piece))["after"]).otherwise(piece),
+        lambda piece: F.when(
+            piece.rlike(f"^{pattern}"), _split_at_end(piece, _tag_name(piece, pattern))["after"]
+        ).otherwise(piece),
     )
     return F.array_join(kept, "")
 

@@ -102,9 +102,8 @@ def typed(raw: DataFrame, loaded_at: str = "updated_at", nan_is_area: bool = Fal
     def number(name: str) -> Column:
         return ty.strict_double(F.col(name))
 
-    area = F.col("TOTAL_SQFT").cast("double")
-    lon, lat = number("lon"), number("lat")
-    return raw.select(
+    literal = [ty.positive_flag_nan_high(F.col("TOTAL_SQFT").cast("double")).alias("has_square_footage")]
+    parsed = raw.select(
         ty.try_int(F.col("IVR_NUMBER")).alias("ivr_number"),
         F.col("APPLICATION_NUMBER").alias("application_number"),
         F.col("STATUS").alias("status"),
@@ -120,14 +119,17 @@ def typed(raw: DataFrame, loaded_at: str = "updated_at", nan_is_area: bool = Fal
             number(c).alias(f"{c.lower()}_amt")
             for c in ("SUBMITTED_VALUATION", "FINAL_VALUATION", "NEW_UNITS", "TOTAL_SQFT")
         ],
-        (ty.positive_flag_nan_high(area) if nan_is_area else ty.positive_flag(area)).alias("has_square_footage"),
+        *(literal if nan_is_area else []),
         number("STORIES").alias("stories_amt"),
         ty.try_int(F.col("customer")).alias("customer"),
-        lon.alias("longitude"),
-        lat.alias("latitude"),
-        geo.point(lon, lat).alias("location"),
+        number("lon").alias("longitude"),
+        number("lat").alias("latitude"),
         ty.try_timestamp(F.col(loaded_at)).alias(loaded_at),
     )
+    # Built on the parsed numbers, so that no text is parsed twice.
+    if not nan_is_area:
+        parsed = parsed.withColumn("has_square_footage", ty.positive_flag(F.col("total_sqft_amt")))
+    return parsed.withColumn("location", geo.point(F.col("longitude"), F.col("latitude")))
 
 
 def cleaned(records: DataFrame, loaded_at: str = "updated_at") -> DataFrame:
