@@ -40,6 +40,16 @@ def test_unknown_dimension_key_is_reported(spark):
     assert rows(landed.unmatched(cities, dimension, "city")) == [("paris",)]
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_keys_join_without_a_shuffle_of_their_rows(spark, how):
+    frame = spark.createDataFrame([(7, i) for i in range(300)] + [(i, i) for i in range(20)] + [(None, 1)], "k int, v int")
+    dimension = spark.createDataFrame([(7, "hot"), (3, "three"), (99, "unused")], "k int, name string")
+    got = landed.lookup_with_hot_keys(frame, dimension, "k", how, share=4)
+    want = frame.join(dimension, "k", how)
+    assert sorted(rows(got), key=repr) == sorted(rows(want), key=repr)
+    assert got.where("name = 'hot'").count() == 301
+
+
 def test_weather_requests_resolve_today(spark):
     cities = spark.createDataFrame([("bend",)], "city string")
     out = ingest.weather_requests(spark, cities, as_of="2024-03-01").first()

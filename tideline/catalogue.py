@@ -582,6 +582,15 @@ def dim_lookup(spark, sf):
     return joined.select("s_suppkey", F.concat("n_name", F.lit("_"), "s_name").alias("id"), "s_acctbal")
 
 
+@query
+def hot_key_lookup(spark, sf):
+    """Daily lines by part type where single parts may hold much of the table."""
+    lines = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("p_partkey"), "l_quantity", "l_shipdate")
+    part = table(spark, sf, "part").select("p_partkey", "p_type")
+    typed = landed.lookup_with_hot_keys(lines, part, "p_partkey")
+    return rollup.daily(typed, F.col("l_shipdate"), {"qty": money_sum("l_quantity"), "n": F.count("*")}, ["p_type"])
+
+
 @query
 def dim_unmatched(spark, sf):
     """Customers whose key has no supplier: the lookup's report of unknown keys."""

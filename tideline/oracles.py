@@ -405,6 +405,11 @@ ORACLES["dim_lookup"] = """
     FROM supplier JOIN nation ON n_nationkey = s_nationkey
 """
 
+ORACLES["hot_key_lookup"] = f"""
+    SELECT {day_text('l_shipdate')} AS date, p_type, {exact_sum('l_quantity')} AS qty, COUNT(*) AS n
+    FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2
+"""
+
 ORACLES["dim_unmatched"] = """
     SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)
 """

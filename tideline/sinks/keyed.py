@@ -77,8 +77,8 @@ def upsert(
 ) -> str:
     """Merge ``incoming`` into the keyed table at ``path``; the latest row of a key wins.
 
-    ``buckets`` belongs to the table and must stay the same; choose it so that one bucket
-    fits a task. ``bucket_by`` and ``partitions`` must be part of the key. A ``batch`` may be
+    ``buckets`` belongs to the table and must stay the same; it sets how much of the table
+    a small batch rewrites. ``bucket_by`` and ``partitions`` must be part of the key. A ``batch`` may be
     repeated until the next one has run. Returns the folder of the batch's deduplicated rows.
     """
     work = f"{path}.batches/{batch or uuid.uuid4().hex}"
@@ -91,12 +91,12 @@ def upsert(
     if _finished(spark, f"{work}/merged"):
         replacement = spark.read.parquet(f"{work}/merged")
     elif (current := _stored(spark, path, fresh.schema)) is None:
-        replacement = fresh.repartition(*layout)
+        replacement = fresh
     else:
         current = current.where(F.col(BUCKET).isin(_touched(fresh)))
         merged = upserted(current, fresh, [BUCKET, *keys])
         merged.write.mode("overwrite").parquet(f"{work}/merged")
-        replacement = spark.read.parquet(f"{work}/merged").repartition(*layout)
+        replacement = spark.read.parquet(f"{work}/merged")
     _replace_folders(replacement, path, layout)
     return f"{work}/incoming"
 
@@ -107,7 +107,9 @@ def _touched(fresh: DataFrame) -> list[int]:
 
 
 def _replace_folders(df: DataFrame, path: str, layout: Sequence[str]) -> None:
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Replace the folders ``df`` has rows for. Rebalancing gathers the rows of a folder but
+    splits a large one over several tasks, so no bucket has to fit a task."""
+    writer = df.hint("rebalance", *layout).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*layout).parquet(path)
 
 
@@ -145,7 +147,7 @@ def staged_merge(
     fresh = spark.read.parquet(landed)
     staged = _read_like(spark, staging_path, fresh.schema).where(F.col(BUCKET).isin(_touched(fresh)))
     merged = latest_non_null(staged, [BUCKET, *keys], merge_columns, order_by)
-    _replace_folders(merged.repartition(BUCKET), target_path, [BUCKET])
+    _replace_folders(merged, target_path, [BUCKET])
 
 
 def merge_into(incoming: DataFrame, table: str, keys: Sequence[str], order_by: Sequence[str]) -> None:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideline.session import written
+
 
 def read_csv_text(
     spark: SparkSession, path: str, columns: Sequence[str], slice_columns: Sequence[str] = ()
@@ -62,6 +64,24 @@ def lookup(df: DataFrame, dimension: DataFrame, on: str | Sequence[str]) -> Data
     return df.join(dimension, on, "inner")
 
 
+def lookup_with_hot_keys(
+    df: DataFrame, dimension: DataFrame, on: str, how: str = "inner", share: int = 1000
+) -> DataFrame:
+    """As ``lookup`` (or a left join) for rows of which a few keys hold a large part.
+
+    Keys with more than one row in ``share`` number fewer than ``share``, so their
+    dimension rows, one per key, are safe to broadcast whatever the tables' size: hot rows
+    are joined where they are read. All other rows join by shuffle, where no key is large.
+    """
+    total = df.agg(F.count("*")).scalar()
+    counts = df.groupBy(on).agg(F.count("*").alias("_n")).where(F.col(on).isNotNull())
+    hot = F.broadcast(written(counts.where(F.col("_n") * share > total).select(on), "hot-keys"))
+    hot_dimension = F.broadcast(dimension.join(hot, on, "left_semi"))
+    hot_rows = df.join(hot, on, "left_semi").join(hot_dimension, on, how)
+    other_rows = df.join(hot, on, "left_anti").join(dimension, on, how)
+    return hot_rows.unionByName(other_rows)
+
+
 def unmatched(df: DataFrame, dimension: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows whose key the dimension lacks, for reporting."""
     return df.join(dimension, on, "left_anti")
