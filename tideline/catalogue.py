@@ -17,7 +17,7 @@ from tideline.functions import typing as ty
 from tideline.functions.rules import Rule, categorise
 from tideline.operators import calendar, dedup, quality, report, rolling, rollup
 from tideline.plans import ingest, permits
-from tideline.session import fresh_dir
+from tideline.session import fresh_dir, written
 from tideline.sinks import keyed, plain
 from tideline.sources import html, landed
 from tideline.sources.mapping import ColumnSpec, map_columns
@@ -372,7 +372,8 @@ def daily_by_category_coalesced(spark, sf):
 def shipped_by_type(spark, sf) -> DataFrame:
     measures = {"qty": money_sum("l_quantity")}
     days = rollup.daily(typed_lines(spark, sf), F.col("l_shipdate"), measures, ["p_type"])
-    return rollup.on_spine(spine(spark), days)
+    # Day-grain rows, written because the grid reads them for its dates, categories and values.
+    return written(rollup.on_spine(spine(spark), days), "shipped-by-type")
 
 
 @query
@@ -778,7 +779,7 @@ def cleaned_permits(spark, sf) -> DataFrame:
 
 def stored_permits(spark, sf) -> DataFrame:
     """The cleaned table written once, for models that read it more than once."""
-    return plain.full_refresh(cleaned_permits(spark, sf), fresh_dir(spark, "permits-cleaned"))
+    return written(cleaned_permits(spark, sf), "permits-cleaned")
 
 
 def flat(df: DataFrame) -> DataFrame:
@@ -817,7 +818,7 @@ def _by_category(category: str) -> Query:
 def _rolling_category(category: str) -> Query:
     def rolling_category(spark, sf):
         per_day = permits.by_date_and(stored_permits(spark, sf), spine(spark), category, AS_OF)
-        return permits.rolling_by(per_day, category, WARMUP_FROM, REPORT_FROM)
+        return permits.rolling_by(written(per_day, "permits-per-day"), category, WARMUP_FROM, REPORT_FROM)
 
     rolling_category.__name__ = f"rolling_permits_by_{category}"
     return rolling_category

@@ -110,5 +110,8 @@ def dense_grid(facts: DataFrame, by: str, date: str = "date", after: AsOf = None
 
 
 def densify(facts: DataFrame, by: str, date: str = "date", after: AsOf = None) -> DataFrame:
-    """``facts`` on the dense grid; grid cells without a fact have null measures."""
+    """``facts`` on the dense grid; grid cells without a fact have null measures.
+
+    ``facts`` is read for its dates, its categories and its values, so pass a stored rollup.
+    """
     return dense_grid(facts, by, date, after).join(facts, [date, by], "left")
