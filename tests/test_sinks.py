@@ -2,6 +2,7 @@ import random
 
 import pytest
 from conftest import day, rows, ts
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tideline.plans import ingest
@@ -41,6 +42,22 @@ def test_many_keys_survive_many_batches(spark, tmp_path):
     assert dict(state(spark, path)) == want
 
 
+def test_a_late_older_row_does_not_replace_a_newer_one(spark, tmp_path):
+    path = str(tmp_path / "t")
+    keyed.upsert(spark, path, batch(spark, ("a", 5, "2024-01-05"), ("b", 5, "2024-01-05")), ["id"], ["loaded_at"])
+    keyed.upsert(spark, path, batch(spark, ("a", 4, "2024-01-04"), ("b", 1, "2024-01-05")), ["id"], ["loaded_at"])
+    assert state(spark, path) == [("a", 5), ("b", 1)]
+
+
+def test_a_batch_with_other_columns_fails_and_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    keyed.upsert(spark, path, batch(spark, ("a", 1, "2024-01-01")), ["id"], ["loaded_at"], buckets=1)
+    with pytest.raises(AnalysisException):
+        wider = batch(spark, ("a", 2, "2024-01-02")).withColumn("extra", F.lit("x"))
+        keyed.upsert(spark, path, wider, ["id"], ["loaded_at"], buckets=1)
+    assert state(spark, path) == [("a", 1)]
+
+
 def test_failed_batch_leaves_the_table_and_can_be_repeated(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
     keyed.upsert(spark, path, batch(spark, ("a", 1, "2024-01-01")), ["id"], ["loaded_at"], batch="1")

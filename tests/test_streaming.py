@@ -22,8 +22,8 @@ def test_runs_take_up_only_new_files_and_late_rows_compete(spark, tmp_path):
     land(spark, landing, ("b", 2, "2024-01-02"))
     assert run() == [("a", 1), ("b", 2)]
     assert run() == [("a", 1), ("b", 2)]
-    land(spark, landing, ("c", 9, "2024-01-09"))
-    assert run() == [("a", 1), ("b", 2), ("c", 9)]
+    land(spark, landing, ("c", 9, "2024-01-09"), ("a", 0, "2024-01-04"), ("b", 5, "2024-01-03"))
+    assert run() == [("a", 1), ("b", 5), ("c", 9)]
 
 
 def test_append_takes_every_row_once(spark, tmp_path):

@@ -33,10 +33,6 @@ def _bucket(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
-def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[key].eqNullSafe(right[key]) for key in keys])
-
-
 def _read_like(spark: SparkSession, path: str, like: StructType) -> DataFrame:
     """Read a partitioned folder with the types of ``like``, not types guessed from folder names."""
     known = {field.name: field for field in like}
@@ -54,10 +50,10 @@ def _stored(spark: SparkSession, path: str, like: StructType) -> DataFrame | Non
         raise
 
 
-def upserted(current: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``current`` with the rows of ``incoming`` replacing or joining it; one row per key each."""
-    kept = current.join(incoming, _same_key(current, incoming, keys), "left_anti")
-    return kept.unionByName(incoming, allowMissingColumns=True)
+def upserted(current: DataFrame, incoming: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """One row per key out of both; the later by ``order_by`` stays, an incoming one when they tie."""
+    both = current.withColumn("_incoming", F.lit(0)).unionByName(incoming.withColumn("_incoming", F.lit(1)))
+    return latest_per_key(both, keys, [*order_by, "_incoming"]).drop("_incoming")
 
 
 def read_keyed(spark: SparkSession, path: str) -> DataFrame:
@@ -75,8 +71,9 @@ def upsert(
     partitions: Sequence[str] = (),
     batch: str | None = None,
 ) -> str:
-    """Merge ``incoming`` into the keyed table at ``path``; the latest row of a key wins.
+    """Merge ``incoming`` into the keyed table at ``path``; the latest row of a key wins, however late it comes.
 
+    Columns are declared once: a batch with other columns than the table fails.
     ``buckets`` belongs to the table and must stay the same; it sets how much of the table
     a small batch rewrites. ``bucket_by`` and ``partitions`` must be part of the key. A ``batch`` may be
     repeated until the next one has run. Returns the folder of the batch's deduplicated rows.
@@ -94,7 +91,7 @@ def upsert(
         replacement = fresh
     else:
         current = current.where(F.col(BUCKET).isin(_touched(fresh)))
-        merged = upserted(current, fresh, [BUCKET, *keys])
+        merged = upserted(current, fresh, [BUCKET, *keys], order_by)
         merged.write.mode("overwrite").parquet(f"{work}/merged")
         replacement = spark.read.parquet(f"{work}/merged")
     _replace_folders(replacement, path, layout)
@@ -153,7 +150,8 @@ def staged_merge(
 def merge_into(incoming: DataFrame, table: str, keys: Sequence[str], order_by: Sequence[str]) -> None:
     """Upsert into a catalog table whose format supports row-level merge."""
     newest = latest_per_key(incoming, keys, order_by).alias("incoming")
-    same = reduce(
-        lambda a, b: a & b, [F.col(f"incoming.{key}").eqNullSafe(F.col(f"{table.split('.')[-1]}.{key}")) for key in keys]
-    )
-    newest.mergeInto(table, same).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+    stored = table.split(".")[-1]
+    same = [F.col(f"incoming.{key}").eqNullSafe(F.col(f"{stored}.{key}")) for key in keys]
+    later = F.struct(*[f"incoming.{c}" for c in order_by]) >= F.struct(*[f"{stored}.{c}" for c in order_by])
+    merge = newest.mergeInto(table, reduce(lambda a, b: a & b, same))
+    merge.whenMatched(later).updateAll().whenNotMatched().insertAll().merge()
