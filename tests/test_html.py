@@ -70,6 +70,21 @@ def test_number_parsing(spark):
     assert rows(frame.select(T.number_before(F.col("x"), "ft"))) == [(900.0,), (200.0,), (None,)]
 
 
+def test_names_match_whole_and_nesting_is_counted(spark):
+    markup = "<DIV-x>no</DIV-x><div id=\"a\">1<DIV>2<div>3</div></div>4</Div><div>5</div>"
+    frame = spark.createDataFrame([(markup,)], "x string")
+    inner = T.first_element(F.col("x"), T.start_tag("div", id_="a"))
+    assert rows(frame.select(T.text_of(inner, "|"))) == [("1|2|3|4",)]
+    assert rows(frame.select(F.size(T.elements(F.col("x"), T.start_tag("div", id_="a"))))) == [(1,)]
+    rest = T.without_elements(F.col("x"), T.start_tag("div", id_="a"))
+    assert rows(frame.select(T.text_of(rest, "|"))) == [("no|5",)]
+
+
+def test_attribute_is_not_read_out_of_another_value(spark):
+    frame = spark.createDataFrame([('<a title="x href=no" data-href=n2 href = \'yes&#33;\'>',), ("<a hrefx=1>",), ('<a href="">',)], "x string")
+    assert rows(frame.select(T.attribute(F.col("x"), "href"))) == [("yes!",), (None,), ("",)]
+
+
 def test_unclosed_markup_runs_to_the_end(spark):
     frame = spark.createDataFrame([("<div class='a'>one<p>two",)], "x string")
     pattern = T.start_tag("div", class_="a")

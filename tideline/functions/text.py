@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 _VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
 _ATTRS = r"""[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*"""
+_NAME_END = r"(?=[\s/>])"
 _COMMENT = r"(?s)<!--.*?-->"
 _RAW_ELEMENT = r"(?is)<(?:script\b.*?</script|style\b.*?</style|template\b.*?</template)\s*>"
 _ANY_TAG = rf"<[!?/a-zA-Z]{_ATTRS}>"
@@ -100,7 +101,7 @@ def start_tag(
         tests += rf"""(?=[^>]*?\s(?i:id)\s*=\s*(?:"{id_}"|'{id_}'|{id_}(?=[\s>])))"""
     if has:
         tests += rf"(?=[^>]*?\s(?i:{has})\s*=)"
-    return rf"<(?i:{tag or '[a-z][a-z0-9]*'})\b{tests}{_ATTRS}>"
+    return rf"<(?i:{tag or '[a-z][a-z0-9]*'}){_NAME_END}{tests}{_ATTRS}>"
 
 
 def attribute(markup: Column, name: str) -> Column:
@@ -121,8 +122,8 @@ def _split_at_end(markup: Column, tag: Column) -> Column:
     ``inside`` ends before the matching end tag, or runs on when there is none. The first
     end tag is the matching one unless another element of that name opens before it.
     """
-    end_tag = F.concat(F.lit("(?i)</"), tag, F.lit(r"\b[^>]*>"))
-    nested = F.concat(F.lit("(?is).<"), tag, F.lit(r"\b"))
+    end_tag = F.concat(F.lit("(?i)</"), tag, F.lit(rf"{_NAME_END}[^>]*>"))
+    nested = F.concat(F.lit("(?is).<"), tag, F.lit(_NAME_END))
 
     def cut(halves: Column) -> Column:
         inside, after = F.element_at(halves, 1), F.coalesce(F.try_element_at(halves, F.lit(2)), F.lit(""))
@@ -152,7 +153,7 @@ def _split_at_balanced_end(markup: Column, tag: Column) -> Column:
             ),
         )
 
-    return let(F.split(markup, F.concat(F.lit("(?i)(?=</?"), tag, F.lit(r"\b)"))), cut)
+    return let(F.split(markup, F.concat(F.lit("(?i)(?=</?"), tag, F.lit(rf"{_NAME_END})"))), cut)
 
 
 def _tag_name(markup: Column, pattern: str) -> Column:

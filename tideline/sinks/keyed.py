@@ -142,7 +142,10 @@ def staged_merge(
         batch=batch,
     )
     fresh = spark.read.parquet(landed)
-    staged = _read_like(spark, staging_path, fresh.schema).where(F.col(BUCKET).isin(_touched(fresh)))
+    touched = _touched(fresh)
+    if not touched:
+        return
+    staged = _read_like(spark, staging_path, fresh.schema).where(F.col(BUCKET).isin(touched))
     merged = latest_non_null(staged, [BUCKET, *keys], merge_columns, order_by)
     _replace_folders(merged, target_path, [BUCKET])
 
