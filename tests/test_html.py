@@ -85,6 +85,16 @@ def test_attribute_is_not_read_out_of_another_value(spark):
     assert rows(frame.select(T.attribute(F.col("x"), "href"))) == [("yes!",), (None,), ("",)]
 
 
+def test_very_long_tags_do_not_exhaust_the_stack(spark):
+    quotes = '"x" ' * 200000
+    attributes = " ".join(f'data-{i}="{i}"' for i in range(50000))
+    frame = spark.createDataFrame([(f"<p>one</p><b {quotes}", f"<a {attributes} href='u'>two</a>")], "x string, y string")
+    got = frame.select(
+        F.length(T.text_of(F.col("x"))), T.attribute(F.col("y"), "href"), T.text_of(F.col("y"))
+    ).first()
+    assert got[0] > 3 and tuple(got)[1:] == ("u", "two")
+
+
 def test_unclosed_markup_runs_to_the_end(spark):
     frame = spark.createDataFrame([("<div class='a'>one<p>two",)], "x string")
     pattern = T.start_tag("div", class_="a")

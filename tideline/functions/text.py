@@ -15,7 +15,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
-_ATTRS = r"""[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*"""
+# Possessive, so that a tag of any length is matched in a loop and not by recursion.
+_ATTRS = r"""[^>"']*+(?:"[^"]*"[^>"']*+|'[^']*'[^>"']*+)*+"""
 _NAME_END = r"(?=[\s/>])"
 _COMMENT = r"(?s)<!--.*?-->"
 _RAW_ELEMENT = r"(?is)<(?:script\b.*?</script|style\b.*?</style|template\b.*?</template)\s*>"
@@ -106,7 +107,8 @@ def start_tag(
 
 def attribute(markup: Column, name: str) -> Column:
     """Value of an attribute of the start tag that ``markup`` begins with; null if absent."""
-    pattern = rf"""(?is)^<\w+(?:\s+[^\s=>"']+(?:\s*=\s*{_VALUE})?)*?\s+{name}\s*=\s*({_VALUE})"""
+    others = rf"""(?:\s++(?!{name}\s*=)[^\s=>"']++(?:\s*=\s*{_VALUE})?+)*+"""
+    pattern = rf"(?is)^<\w+{others}\s+{name}\s*=\s*({_VALUE})"
     return let(
         F.regexp_extract(markup, pattern, 1),
         lambda raw: F.when(
