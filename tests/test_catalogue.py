@@ -3,9 +3,8 @@ from conftest import SF_DIR
 
 import __spark_entry__ as entry
 import verify
-
-
-
+from tideline import catalogue
+from tideline.operators import quality
 
 
 @pytest.fixture(scope="module")
@@ -25,3 +24,31 @@ def test_every_query_has_sql():
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_rollup_keeps_every_fact(spark):
+    rolled = entry.queries()["daily_rollup"](spark, SF_DIR).agg({"n_lines": "sum", "sum_qty": "sum"}).first()
+    lines = catalogue.table(spark, SF_DIR, "lineitem").agg({"*": "count", "l_quantity": "sum"}).first()
+    assert sorted(rolled) == sorted(lines)
+
+
+def test_grid_is_days_times_categories(spark):
+    grid = entry.queries()["dense_grid"](spark, SF_DIR)
+    sizes = grid.selectExpr("count(*)", "count(distinct date) * count(distinct p_type)").first()
+    assert sizes[0] == sizes[1]
+
+
+@pytest.mark.parametrize(
+    ("name", "keys"),
+    [
+        ("permits_cleaned", ["ivr_number"]),
+        ("dedup_first", ["l_orderkey", "l_linenumber"]),
+        ("upsert_latest", ["user_id", "event_type"]),
+        ("staged_merge", ["user_id"]),
+        ("weather_ingest", ["id"]),
+        ("permits_by_date", ["date"]),
+    ],
+)
+def test_keyed_outputs_are_unique_and_complete(spark, name, keys):
+    out = entry.queries()[name](spark, SF_DIR)
+    assert quality.duplicate_keys(out, keys).isEmpty() and quality.null_keys(out, keys).isEmpty()

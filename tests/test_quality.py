@@ -1,6 +1,8 @@
 from conftest import rows
 
 from tideline.operators import quality
+from tideline.plans import ingest
+from tideline.sources.mapping import declared_types, map_columns
 
 
 def test_null_is_no_duplicate_but_is_missing(spark):
@@ -20,3 +22,13 @@ def test_schema_report(spark):
         "z": ("missing", "string", None, 2, None),
         "x": ("extra", None, "double", 2, 0),
     }
+
+
+def test_mapped_rows_conform_to_their_declaration(spark):
+    paths = {spec.path for spec in ingest.PERMIT_COLUMNS if spec.path} | {"X_WEB_MERCATOR", "Y_WEB_MERCATOR"}
+    raw = spark.createDataFrame([tuple("1" for _ in paths)], ", ".join(f"{p} string" for p in sorted(paths)))
+    mapped = map_columns(raw, ingest.PERMIT_COLUMNS)
+    report = quality.schema_report(mapped, declared_types(ingest.PERMIT_COLUMNS))
+    assert {r.status for r in report.collect()} == {"ok"} and report.count() == 18
+    wrong = quality.schema_report(raw, declared_types(ingest.LISTING_COLUMNS))
+    assert {r.status for r in wrong.collect()} == {"missing", "extra"}

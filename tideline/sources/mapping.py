@@ -45,3 +45,8 @@ class ColumnSpec:
 def map_columns(df: DataFrame, specs: Sequence[ColumnSpec], keep: Sequence[str] = ()) -> DataFrame:
     """One projection over the source, so unused source columns are never read."""
     return df.select(*keep, *[spec.column() for spec in specs])
+
+
+def declared_types(specs: Sequence[ColumnSpec]) -> dict[str, str]:
+    """Spark type name of every declared column, for ``quality.schema_report``."""
+    return {spec.name: DECLARED_TYPES[spec.type] for spec in specs}
