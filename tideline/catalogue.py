@@ -604,8 +604,7 @@ def dim_unmatched(spark, sf):
 
 @query
 def html_items(spark, sf):
-    items = html.page_elements(table(spark, sf, "pages").select("page_id", "html"), T.start_tag("li"))
-    return html.link_fields(items).select("page_id", "position", "url", "link_text")
+    return html.linked_rows(table(spark, sf, "pages").select("page_id", "html"), T.start_tag("li"), html.link_fields)
 
 
 @query
@@ -615,7 +614,8 @@ def html_detail_join(spark, sf):
     The first link of a page stands for the page itself; the others have no landed page.
     """
     pages = table(spark, sf, "pages")
-    items = html.link_fields(html.page_elements(pages.select(F.col("url").alias("page_url"), "html"), T.start_tag("li")))
+    listed = pages.select(F.col("url").alias("page_url"), "html")
+    items = html.linked_rows(listed, T.start_tag("li"), html.link_fields)
     items = items.withColumn("url", F.when(F.col("position") == 0, F.col("page_url")).otherwise(F.col("url")))
     markup = F.col("markup")
     details = pages.select("url", T.visible_markup(F.col("html")).alias("markup")).select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,39 +24,43 @@ DETAIL_BODY = T.start_tag(id_="postingbody")
 DETAIL_BODY_EXCLUDED = T.start_tag(class_="print-qrcode-container")
 
 
-def page_elements(pages: DataFrame, pattern: str, html: str = "html", cap: int | None = None) -> DataFrame:
-    """One row per element matching ``pattern``: the page's other columns, position, element.
+def linked_rows(
+    pages: DataFrame, pattern: str, fields: Callable[[Column], list[Column]], html: str = "html", cap: int | None = None
+) -> DataFrame:
+    """One row per element matching ``pattern`` that has a link: the page's other columns,
+    the element's position and its ``fields``, one of which is ``url``.
 
-    ``cap`` keeps the first positions of every page, before anything else is filtered.
+    ``cap`` keeps the first positions of every page, before elements without a link go.
+    Fields are built inside the page's row and filtered there, so nothing is parsed twice
+    and no markup is copied into the rows.
     """
     found = T.elements(T.visible_markup(F.col(html)), pattern)
     if cap is not None:
         found = F.slice(found, 1, cap)
+    built = F.transform(found, lambda element, position: F.struct(position.alias("position"), *fields(element)))
     keep = [F.col(name) for name in pages.columns if name != html]
-    return pages.select(*keep, F.posexplode(found).alias("position", "element"))
+    return pages.select(*keep, F.inline(F.filter(built, lambda row: row["url"] != "")))
+
 
+def link_fields(element: Column) -> list[Column]:
+    """Address and text of the element's first anchor."""
+    anchor = T.first_element(element, CARD_LINK)
+    return [T.attribute(anchor, "href").alias("url"), T.text_of(anchor).alias("link_text")]
 
-def link_fields(items: DataFrame, element: str = "element") -> DataFrame:
-    """Adds ``url`` and ``link_text`` of the first anchor; rows without a link go."""
-    linked = items.withColumn("_a", T.first_element(F.col(element), CARD_LINK))
-    linked = linked.withColumn("url", T.attribute(F.col("_a"), "href")).where("url <> ''")
-    return linked.withColumn("link_text", T.text_of(F.col("_a"))).drop("_a")
+
+def card_fields(card: Column) -> list[Column]:
+    title = T.text_of(T.first_element(card, CARD_TITLE))
+    return [
+        T.attribute(T.first_element(card, CARD_LINK), "href").alias("url"),
+        F.coalesce(title, T.attribute(card, "title"), F.lit("")).alias("title"),
+        T.digits_int(T.raw_text_of(T.first_element(card, CARD_PRICE))).alias("price"),
+        T.text_of(T.first_element(card, CARD_LOCATION)).alias("neighborhood"),
+    ]
 
 
 def listing_cards(list_pages: DataFrame, max_records: int = 999999) -> DataFrame:
     """``(region, html)`` pages to ``(region, url, title, price, neighborhood)`` rows."""
-    card = F.col("element")
-    title = T.first_element(card, CARD_TITLE)
-    price = T.first_element(card, CARD_PRICE)
-    place = T.first_element(card, CARD_LOCATION)
-    cards = page_elements(list_pages, CARD, cap=max_records)
-    return cards.select(
-        "region",
-        T.attribute(T.first_element(card, CARD_LINK), "href").alias("url"),
-        F.coalesce(T.text_of(title), T.attribute(card, "title"), F.lit("")).alias("title"),
-        T.digits_int(T.raw_text_of(price)).alias("price"),
-        T.text_of(place).alias("neighborhood"),
-    ).where("url <> ''")
+    return linked_rows(list_pages.select("region", "html"), CARD, card_fields, cap=max_records).drop("position")
 
 
 def _attr_texts(html: Column) -> Column:
