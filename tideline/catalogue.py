@@ -29,6 +29,9 @@ QUERIES: dict[str, Query] = {}
 
 AS_OF = "2001-08-01"
 SPINE_START = "1995-01-01"
+
+# Key buckets of the small tables written here.
+FEW_BUCKETS = 8
 WARMUP_FROM = "1996-01-01"
 REPORT_FROM = "1997-01-01"
 
@@ -494,6 +497,7 @@ def staged_merge(spark, sf):
             keys=["user_id"],
             merge_columns=list(STAGE_DATES),
             order_by=["loaded_at", "event_id"],
+            buckets=FEW_BUCKETS,
             batch=str(number),
         )
     return keyed.read_keyed(spark, f"{folder}/target").select("user_id", *STAGE_DATES, "event_id", "event_type")
@@ -504,7 +508,9 @@ def upsert_latest(spark, sf):
     path = fresh_dir(spark, "upsert")
     events = table(spark, sf, "events")
     for number, batch in enumerate(halves(events, "ts")):
-        keyed.upsert(spark, path, batch, ["user_id", "event_type"], ["ts", "event_id"], batch=str(number))
+        keyed.upsert(
+            spark, path, batch, ["user_id", "event_type"], ["ts", "event_id"], buckets=FEW_BUCKETS, batch=str(number)
+        )
     return keyed.read_keyed(spark, path).select("user_id", "event_type", "event_id", "ts", "value")
 
 
@@ -684,7 +690,12 @@ def incremental_ingest(spark, sf):
         batch.write.mode("append").parquet(f"{folder}/landing")
         stream = streams.landed_stream(spark, f"{folder}/landing", events.schema)
         streams.ingest_upsert(
-            stream, f"{folder}/target", f"{folder}/progress", ["user_id", "event_type"], ["ts", "event_id"]
+            stream,
+            f"{folder}/target",
+            f"{folder}/progress",
+            ["user_id", "event_type"],
+            ["ts", "event_id"],
+            buckets=FEW_BUCKETS,
         )
     return keyed.read_keyed(spark, f"{folder}/target").select("user_id", "event_type", "event_id", "ts", "value")
 
@@ -888,7 +899,7 @@ def permit_ingest(spark, sf):
         landing = landing.withColumn(at, F.when(F.col("date_type") == stage, F.col(at)).otherwise(F.lit("nan")))
     landing.write.partitionBy("date_type", "slice_date").option("header", True).csv(f"{folder}/landing")
     rows = ingest.permit_rows(spark, f"{folder}/landing")
-    merged = ingest.ingest_permits(rows, f"{folder}/staging", f"{folder}/target", "2002-01-01", batch="all")
+    merged = ingest.ingest_permits(rows, f"{folder}/staging", f"{folder}/target", "2002-01-01", FEW_BUCKETS, "all")
     return merged.select(
         "ivr_number", "application_number", "under_review", "issued", "final", "work", "total_sqft",
         "submitted_valuation", F.round("lon", 9).alias("lon"), F.round("lat", 9).alias("lat"),
@@ -961,6 +972,6 @@ def weather_ingest(spark, sf):
             F.to_json(F.struct(daily.alias("daily"))).alias("payload"),
         )
 
-    ingest.ingest_weather(ingest.weather_rows(payloads(days)), path, "2024-02-01", batch="0")
+    ingest.ingest_weather(ingest.weather_rows(payloads(days)), path, "2024-02-01", FEW_BUCKETS, "0")
     late = days.where(F.col("day") >= F.lit("2024-01-20").cast("date")).withColumn("n", F.col("n") + 100)
-    return ingest.ingest_weather(ingest.weather_rows(payloads(late)), path, "2024-02-02", batch="1")
+    return ingest.ingest_weather(ingest.weather_rows(payloads(late)), path, "2024-02-02", FEW_BUCKETS, "1")

@@ -104,7 +104,7 @@ def permit_rows(spark: SparkSession, landing: str) -> DataFrame:
 
 
 def ingest_permits(
-    rows: DataFrame, staging: str, target: str, loaded_at: AsOf = None, buckets: int = 8, batch: str | None = None
+    rows: DataFrame, staging: str, target: str, loaded_at: AsOf = None, buckets: int = keyed.BUCKETS, batch: str | None = None
 ) -> DataFrame:
     """Stage rows by event-date type, merge them per permit with the latest non-null dates."""
     stamped = rows.withColumn("loaded_at", F.lit(loaded_at).cast("timestamp_ntz") if loaded_at else F.localtimestamp())
@@ -128,7 +128,8 @@ def ingest_permits(
 def listing_rows(list_pages: DataFrame, detail_pages: DataFrame, max_records: int = 999999) -> DataFrame:
     """Listing cards with the fields of their detail pages, where there is one."""
     cards = html.listing_cards(list_pages, max_records)
-    details = html.listing_details(detail_pages.dropDuplicates(["url"]))
+    # One copy per address, the same one on every run.
+    details = html.listing_details(detail_pages.groupBy("url").agg(F.max("html").alias("html")))
     return map_columns(html.with_details(cards, details), LISTING_COLUMNS)
 
 
@@ -181,7 +182,7 @@ def weather_rejects(payloads: DataFrame) -> DataFrame:
 
 
 def ingest_weather(
-    rows: DataFrame, target: str, loaded_at: AsOf = None, buckets: int = 8, batch: str | None = None
+    rows: DataFrame, target: str, loaded_at: AsOf = None, buckets: int = keyed.BUCKETS, batch: str | None = None
 ) -> DataFrame:
     """Upsert daily rows by id; a reload replaces the days it covers."""
     stamped = rows.withColumn("loaded_at", F.lit(loaded_at).cast("timestamp_ntz") if loaded_at else F.localtimestamp())

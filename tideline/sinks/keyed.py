@@ -23,6 +23,9 @@ from tideline.operators.dedup import latest_non_null, latest_per_key
 
 BUCKET = "key_bucket"
 
+# A table of many terabytes wants thousands; a batch rewrites the buckets its keys fall into.
+BUCKETS = 64
+
 
 def _finished(spark: SparkSession, path: str) -> bool:
     marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
@@ -66,7 +69,7 @@ def upsert(
     incoming: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str],
-    buckets: int = 8,
+    buckets: int = BUCKETS,
     bucket_by: Sequence[str] | None = None,
     partitions: Sequence[str] = (),
     batch: str | None = None,
@@ -120,7 +123,7 @@ def staged_merge(
     keys: Sequence[str],
     merge_columns: Sequence[str],
     order_by: Sequence[str],
-    buckets: int = 8,
+    buckets: int = BUCKETS,
     batch: str | None = None,
 ) -> None:
     """Stage landed slices by parameter, then merge all stages of the touched buckets into the target.

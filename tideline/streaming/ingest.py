@@ -41,7 +41,7 @@ def ingest_upsert(
     progress: str,
     keys: Sequence[str],
     order_by: Sequence[str],
-    buckets: int = 8,
+    buckets: int = keyed.BUCKETS,
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> None:
     """Upsert every micro-batch; a batch repeated after a failure resumes its own work."""
