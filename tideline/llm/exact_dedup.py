@@ -16,8 +16,7 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Lengths that occur once are settled by counting lengths, beginnings that occur once among the
     rest by a hash of the first ``head`` characters; the full text is hashed only for groups that
     are left. Survivors are told from bounded bitmaps, so no text is shuffled unless the caller
-    keeps the text column of rows in such groups. Rows meet their group by a join whose group side
-    has one row a group, so adaptive execution can split a hot group.
+    keeps the text column of rows in such groups. Large groups are salted where rows meet them.
 
     A null text counts as empty. Rows repeated under one id get one verdict. Null ids lose against
     any other id; a group of null ids alone keeps all its rows. An empty table gives an empty
@@ -40,7 +39,7 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     left = rows.filter("_xd_length and _xd_start").withColumns({"_xd_n": length, "_xd_head": start, "_xd_full": full})
     keys = ["_xd_n", "_xd_head", "_xd_full"]
     groups = left.groupBy(*keys).agg(F.max(f"`{id_col}`").alias("keep_id"), F.count("*").alias("group_size"))
-    left = left.join(groups, keys).withColumn("kept", F.col(f"`{id_col}`").eqNullSafe(F.col("keep_id")))
+    left = bitmaps.join_groups(left, groups, keys, "group_size", F.col(f"`{id_col}`")).withColumn("kept", F.col(f"`{id_col}`").eqNullSafe(F.col("keep_id")))
     wanted = [*[f"`{c}`" for c in names], "keep_id", "group_size", "kept"]
     return alone.select(*wanted).unionByName(left.select(*wanted))
 
