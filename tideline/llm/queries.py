@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tideline.llm.exact_dedup import exact_groups
+from tideline.llm.jaccard_join import shingle_components
 
 QUERIES = {}
 
@@ -25,6 +26,11 @@ def op10_exact_dedup(spark, sf):
     return exact_groups(documents.withColumn("text_sha256", F.sha2(body, 256))).drop("text")
 
 
+@query
+def op4_jaccard_join(spark, sf):
+    return shingle_components(table(spark, sf, "documents"), k=3, percent=90)
+
+
 ORACLES = {
     "op10_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
