@@ -173,7 +173,7 @@ def _linked(percent: int):
     def run(batches):
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("set_a"), batch.column("set_b")):
+            for x, y in zip(batch.column("hashes_a"), batch.column("hashes_b")):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
@@ -182,15 +182,49 @@ def _linked(percent: int):
     return run
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+def _within_reach(percent: int):
+    """Pairs whose prefixes allow the threshold: up to the end of the shorter one all shared shingles are known."""
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for x, y, n_x, n_y in zip(*(batch.column(c) for c in ("prefix_a", "prefix_b", "n_a", "n_b"))):
+                x, y = (v.values.to_numpy().view(np.uint64) for v in (x, y))
+                n_x, n_y, end = n_x.as_py(), n_y.as_py(), min(x[-1], y[-1])
+                # Whatever lies up to ``end`` in either set is in its prefix.
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                rest = min(n_x - np.searchsorted(x, end, "right"), n_y - np.searchsorted(y, end, "right"))
+                keep.append((both + rest) * (100 + percent) >= percent * (n_x + n_y))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def _only(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows with one of the ids; all others but a few are sorted out before the shuffle."""
+    rows = bitmaps.marked(rows, bitmaps.bitmap(ids), [F.col("id")], "_wanted").filter("_wanted").drop("_wanted")
+    return rows.join(ids, "id", "left_semi")
+
+
+def _with_both(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Pairs with the columns of ``rows`` of both ends."""
+    for x in "ab":
+        pairs = pairs.join(rows.select(F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in rows.columns[1:]]), x)
+    return pairs
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs ``a, b`` of ids whose whole texts reach the threshold, by the sets of just these texts."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = bitmaps.marked(texts, bitmaps.bitmap(ends), [F.col("id")], "_wanted").filter("_wanted").drop("_wanted")
-    sets = texts.join(ends, "id", "left_semi").mapInArrow(_sets(k), f"id {_kind(texts)}, hashes binary")
-    sets = written(sets, "hashes")
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("set_a")), "a")
-    both = both.join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("set_b")), "b")
-    return both.mapInArrow(_linked(percent), f"a {_kind(texts)}, b {_kind(texts)}").distinct()
+    kind = _kind(texts)
+    prefixes = _only(sets.select("id", "prefix", "n"), _ends(pairs))
+    pairs = _with_both(pairs, prefixes).mapInArrow(_within_reach(percent), f"a {kind}, b {kind}")
+    pairs = written(pairs.distinct(), "pairs")
+    hashes = _only(texts, _ends(pairs)).mapInArrow(_sets(k), f"id {kind}, hashes binary")
+    return _with_both(pairs, written(hashes, "hashes")).mapInArrow(_linked(percent), f"a {kind}, b {kind}").distinct()
 
 
 def _kind(texts: DataFrame) -> str:
@@ -284,11 +318,11 @@ def shingle_components(
     postings = bitmaps.marked(tokens, bitmaps.bitmap(lists.select("token"), 1 << 25), [F.col("token")], "often", 1 << 25)
     postings = written(postings.filter("often").drop("often"), "postings")
 
-    links = written(_verified(_star_links(postings, lists, percent), texts, k, percent), "links")
+    links = written(_verified(written(_star_links(postings, lists, percent), "pairs"), sets, texts, k, percent), "links")
     joined = written(components(links), "components")
     postings = postings.join(joined.withColumnRenamed("node", "id"), "id", "left")
     postings = written(postings.withColumn("component", F.coalesce("component", "id")), "postings")
-    open_links = written(_verified(written(_open_links(postings, percent), "pairs"), texts, k, percent), "links")
+    open_links = written(_verified(written(_open_links(postings, percent), "pairs"), sets, texts, k, percent), "links")
 
     # Every row of a set takes the component of the set; ids that name several sets join them.
     copies = sets.filter("copies > 1").select("sig", "copies", F.col("id").alias("named"))
