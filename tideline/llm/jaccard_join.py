@@ -2,7 +2,8 @@
 
 Shingles are ordered from rare to frequent by upper bounds of their document counts: two fixed-size
 tables of hashed counts, of shingles and of words, summed over all documents. If two sets reach the
-threshold, then for every ``l`` their prefixes of ``n - needed + l`` shingles share at least ``l``.
+threshold, then for every ``l`` their prefixes of ``n - needed + l`` shingles share at least ``l``,
+where ``needed`` follows from both sizes; what is posted suffices for any partner's size.
 Each document picks the ``l`` whose prefix it expects to cost least, counting the postings it meets
 and the pairs left to verify; a pair needs the smaller of its two ``l`` in common.
 
@@ -253,10 +254,11 @@ def _enough(shared, percent: int):
 
 
 def _possible(percent: int):
-    """Of one shared shingle: both ends search that deep, and the places leave enough to share."""
+    """Of one shared shingle: it lies in the prefixes that this pair of sizes calls for, and the places
+    leave enough to share."""
     asked = F.least("asked_a", "asked_b")
-    spare = [F.col(f"n_{x}") - F.ceil(F.col(f"n_{x}") * percent / 100) for x in "ab"]
-    deep = (F.col("place_a") < spare[0] + asked) & (F.col("place_b") < spare[1] + asked)
+    needed = F.floor((percent * (F.col("n_a") + F.col("n_b")) + 99 + percent) / (100 + percent))
+    deep = (F.col("place_a") < F.col("n_a") - needed + asked) & (F.col("place_b") < F.col("n_b") - needed + asked)
     after = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
     return deep & _enough(F.least("place_a", "place_b") + after, percent)
 
