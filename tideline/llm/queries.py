@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tideline.llm import language_id
 from tideline.llm.exact_dedup import exact_groups
 from tideline.llm.jaccard_join import shingle_components
 
@@ -26,6 +27,13 @@ def op10_exact_dedup(spark, sf):
     return exact_groups(documents.withColumn("text_sha256", F.sha2(body, 256))).drop("text")
 
 
+@query
+def op1_language_id(spark, sf):
+    documents = table(spark, sf, "documents")
+    named = language_id.identify(documents.select("doc_id", "text"), language_id.learn(documents))
+    return named.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op4_jaccard_join(spark, sf):
     return shingle_components(table(spark, sf, "documents"), k=3, percent=90)
