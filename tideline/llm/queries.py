@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tideline.llm import language_id
+from tideline.llm import language_id, pii
 from tideline.llm.exact_dedup import exact_groups
 from tideline.llm.jaccard_join import shingle_components
 
@@ -20,6 +20,15 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Stands in for the secret that a caller brings.
+KEY = "key of the test queries"
+
+
+@query
+def op9_pii(spark, sf):
+    return pii.pseudonymise(table(spark, sf, "documents").select("doc_id", "text"), KEY)
+
+
 @query
 def op10_exact_dedup(spark, sf):
     documents = table(spark, sf, "documents").select("doc_id", "text")
