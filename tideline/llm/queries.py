@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from tideline.llm import language_id, pii
+from tideline.llm import chunk_codec, language_id, packing, pii
 from tideline.llm.exact_dedup import exact_groups
 from tideline.llm.jaccard_join import shingle_components
 
@@ -43,6 +44,22 @@ def op1_language_id(spark, sf):
     return named.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op3_packing(spark, sf):
+    return packing.pack(packing.token_pieces(table(spark, sf, "documents"), TOKENIZER))
+
+
+@query
+def op5_bpe(spark, sf):
+    coded = chunk_codec.encode_decode(table(spark, sf, "documents"), TOKENIZER)
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 @query
 def op4_jaccard_join(spark, sf):
     return shingle_components(table(spark, sf, "documents"), k=3, percent=90)
