@@ -91,8 +91,8 @@ def hashed_counts(texts: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
     schema = "block int, counts binary"
     parts = texts.mapInArrow(_count_blocks(k), schema)
     # Two steps, so that no task sums the tables of all tasks.
-    parts = parts.repartition(4 * blocks, "block", F.spark_partition_id() % 16).mapInArrow(_add_blocks, schema)
-    sums = parts.repartition(blocks, "block").mapInArrow(_add_blocks, schema)
+    parts = parts.repartition("block", F.spark_partition_id() % 16).mapInArrow(_add_blocks, schema)
+    sums = parts.repartition("block").mapInArrow(_add_blocks, schema)
     counts = np.zeros((blocks, _BLOCK), np.uint64)
     for row in sums.toLocalIterator():  # at most ``blocks`` rows of 128 KB
         counts[row.block] += np.frombuffer(row.counts, np.uint64)

@@ -136,4 +136,4 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     ranked = _ranked(pieces)
     whole = ranked.filter(F.col("length") == capacity).withColumn("sequence_id", F.col("rank")).withColumn("offset", F.lit(0).cast("bigint"))
     rest = ranked.filter(F.col("length") < capacity).join(places, ["length", "rank"])
-    return whole.unionByName(rest).drop("rank")
+    return whole.unionByName(rest).select(*pieces.columns, "sequence_id", "offset")
