@@ -15,8 +15,11 @@ LEAST_SCORE = 0.3
 
 
 def identified(spark, docs, sf_dir):
-    """Documents that are in one of the learned languages."""
-    named = language_id.identify(docs, language_id.learn(docs))
+    """Documents that are in one of the learned languages; without labelled rows all with a letter stay."""
+    model = language_id.learn(docs)
+    if model is None:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    named = language_id.identify(docs, model)
     kept = named.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
     return kept.select(*[f"`{c}`" for c in docs.columns])
 

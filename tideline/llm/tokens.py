@@ -9,7 +9,7 @@ truncation or padding.
 from __future__ import annotations
 
 from functools import cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 
@@ -77,7 +77,7 @@ class Encoder:
             got = [self._whole(t if t is not None else w[0].decode()) for w, t in other]
             self._add([w for w, _ in other], np.array([*chain.from_iterable(got)], np.uint32), np.array([len(x) for x in got]))
         if ends:
-            base, base_ends = self._gather(ends.values())
+            base, base_ends = self._gather(self._find([*ends.values()]))
             length = np.diff(base_ends)
             into = np.concatenate([[0], np.cumsum(length + 1)])
             ids = np.zeros(into[-1], np.uint32)
@@ -85,9 +85,12 @@ class Encoder:
             ids[into[1:] - 1] = np.where([w[-1] == 46 for w in ends], self.stop, self.comma)
             self._add(list(ends), ids, length + 1)
 
-    def _gather(self, words) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of known words, and where each word ends among them."""
-        found = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+    def _find(self, words: list) -> np.ndarray:
+        """Numbers of the words; -1 for new ones."""
+        return np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+
+    def _gather(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words with these numbers, and where each word ends among them."""
         first, length = self.first[found], self.length[found]
         ends = np.concatenate([[0], np.cumsum(length)])
         return self.flat[np.arange(ends[-1]) + np.repeat(first - ends[:-1], length)], ends
@@ -101,13 +104,16 @@ class Encoder:
             else:
                 words += text.lower().split()
             counts.append(len(words))
-        missing = set(words).difference(self.index)
+        found = self._find(words)
+        missing = {words[i] for i in np.flatnonzero(found < 0)}
         if missing:
             if len(self.index) + len(missing) > MOST_WORDS:
                 self._clear()
-                missing = set(words)
+                missing, found[:] = set(words), -1
             self._learn(missing)
-        ids, ends = self._gather(words)
+            at = np.flatnonzero(found < 0)
+            found[at] = self._find([words[i] for i in at])
+        ids, ends = self._gather(found)
         return ids, ends[counts]
 
 
