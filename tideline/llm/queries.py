@@ -5,11 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tideline.llm import chunk_codec, language_id, packing, pii
+from tideline.llm import chunk_codec, language_id, merkle, packing, pii
 from tideline.llm.exact_dedup import exact_groups
 from tideline.llm.jaccard_join import shingle_components
 
 QUERIES = {}
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def query(function):
@@ -44,7 +45,20 @@ def op1_language_id(spark, sf):
     return named.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op2_merkle(spark, sf):
+    compared = merkle.compare_with_next(table(spark, sf, "documents"))
+    return compared.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
 
 
 @query
