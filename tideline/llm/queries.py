@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tideline.llm import chunk_codec, language_id, merkle, packing, pii
+from tideline.llm import chunk_codec, language_id, merkle, packing, pii, reply_trees
 from tideline.llm.exact_dedup import exact_groups
 from tideline.llm.jaccard_join import shingle_components
 
@@ -61,6 +62,33 @@ def op2_merkle(spark, sf):
     )
 
 
+def chained(turns):
+    """Each turn a reply to the one before it in its conversation; turns of equal number go by role and text."""
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    turns = turns.withColumn("node", F.row_number().over(order))
+    parent = F.when(F.col("node") > 1, F.col("node") - 1)
+    return turns.select(F.col("conv_id").alias("tree"), "node", parent.alias("parent"), "role", "text")
+
+
+@query
+def op6_chat(spark, sf):
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    planted = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+    turns = turns.unionByName(spark.createDataFrame(planted, turns.schema))
+    out = reply_trees.conversations(chained(turns))
+    back, spoken = reply_trees.parsed(F.col("formatted")), reply_trees.under_loss(F.col("formatted"), F.col("loss"))
+    out = out.withColumns({"back": back, "spoken": spoken})
+    lines = F.transform("back", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return out.select(
+        F.col("tree").alias("conv_id"),
+        F.size("back").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("spoken").cast("long").alias("loss_chars"),
+        F.sha2("spoken", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 @query
 def op3_packing(spark, sf):
     return packing.pack(packing.token_pieces(table(spark, sf, "documents"), TOKENIZER))
@@ -80,6 +108,24 @@ def op4_jaccard_join(spark, sf):
 
 
 ORACLES = {
+    "op6_chat": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ),
+        marked AS (
+            SELECT *, len(regexp_extract_all(text,
+                '[<\[]\\*(\|im_start\|>|\|im_end\|>|\|endoftext\|>|\|startoftext\|>|/?s>|/?INST\]|/?SYS>>)')) AS marks
+            FROM turns
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(12 + length(role) + 1 + length(text) + marks + 10 + 1) AS BIGINT) AS formatted_chars
+        FROM marked GROUP BY conv_id
+    """,
     "op10_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
