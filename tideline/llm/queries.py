@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tideline.llm import chunk_codec, language_id, merkle, packing, pii, reply_trees
 from tideline.llm.exact_dedup import exact_groups
+from tideline.llm.fuzzy_lines import line_groups
 from tideline.llm.jaccard_join import shingle_components
 
 QUERIES = {}
@@ -27,6 +28,11 @@ def table(spark, sf_dir, name):
 KEY = "key of the test queries"
 
 
+@query
+def op8_fuzzy_lines(spark, sf):
+    return line_groups(table(spark, sf, "documents"))
+
+
 @query
 def op9_pii(spark, sf):
     return pii.pseudonymise(table(spark, sf, "documents").select("doc_id", "text"), KEY)
