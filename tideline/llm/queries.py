@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tideline.llm import chunk_codec, language_id, merkle, packing, pii, reply_trees
+from tideline.llm import chunk_codec, language_id, merkle, mincut_html, packing, pii, reply_trees
 from tideline.llm.exact_dedup import exact_groups
 from tideline.llm.fuzzy_lines import line_groups
 from tideline.llm.jaccard_join import shingle_components
@@ -28,6 +28,12 @@ def table(spark, sf_dir, name):
 KEY = "key of the test queries"
 
 
+@query
+def op7_mincut_html(spark, sf):
+    found = mincut_html.extract(table(spark, sf, "pages").select("page_id", "url", "html"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query
 def op8_fuzzy_lines(spark, sf):
     return line_groups(table(spark, sf, "documents"))
