@@ -28,6 +28,8 @@ SINGLE_WORDS = 64
 LEAF_BITS = 2
 #: Bytes of text in a range of ids that one task reads in order, on average.
 RANGE_BYTES = 16 << 20
+#: Ranges at most; beyond that they grow. Their bounds and first ids are what every task holds.
+MOST_RANGES = 100_000
 
 
 class Paragraph(NamedTuple):
@@ -181,14 +183,14 @@ def compare_with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     The edit replaces the last half of the code points by as many, or all, of the first of the next text; the last
     document's next is the first. Null texts count as empty, null ids come last, equal ids go by text; a
     document alone is its own next. The ids are cut into ranges of about ``RANGE_BYTES`` of text at
-    quantiles; each range is read in order by one task, and the first row of the range after it is its
+    quantiles, and into larger ones for more than ``MOST_RANGES``; each range is read in order by one task, and the first row of the range after it is its
     guest, so no text moves more than once and no range depends on another.
     """
     rows = df.select(
         F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text")
     )
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranges = int(size // RANGE_BYTES) + 1
+    ranges = min(int(size // RANGE_BYTES) + 1, MOST_RANGES)
     bounds = []
     if ranges > 1:
         shares = [i / ranges for i in range(1, ranges)]
@@ -206,7 +208,8 @@ def compare_with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     order = Window.orderBy("range")  # a row for each range
     to = F.coalesce(F.lead("range").over(order), F.first("range").over(order))
     firsts = firsts.withColumn("to", to)
-    guests = rows.join(firsts, "range").filter(F.col("id").eqNullSafe(F.col("first")))
+    # At most MOST_RANGES rows.
+    guests = rows.join(F.broadcast(firsts), "range").filter(F.col("id").eqNullSafe(F.col("first")))
     guests = guests.select(F.col("to").alias("range"), F.lit(True).alias("guest"), "id", "text")
     dealt = rows.select("range", F.lit(False).alias("guest"), "id", "text").unionByName(guests).repartition("range")
     ordered = dealt.sortWithinPartitions("range", "guest", F.desc_nulls_last("id"), "text")
