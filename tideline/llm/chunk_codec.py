@@ -183,6 +183,7 @@ def encode_decode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_co
     empty table gives an empty result; other columns are not read. ``tokenizer`` is the path of a
     tokenizer file on every executor.
     """
+    words.small_batches(df.sparkSession)
     rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     schema = f"id {rows.schema['id'].dataType.simpleString()}, n_tokens bigint, ids binary, decoded string"
     return rows.mapInArrow(_digests(tokenizer), schema).withColumnRenamed("id", id_col)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import bitmaps, words
+from tideline.llm import bitmaps, tokens, words
 from tideline.llm.components import components
 from tideline.session import written
 
@@ -117,6 +117,7 @@ def _prefixes(k: int, percent: int, shared):
     """Per document: set size, signature of the set, chosen ``l`` and the prefix, rare shingles first."""
 
     def run(batches):
+        tokens.forget()
         shingle_counts, word_counts = (x.astype(np.float64) for x in shared.value)
         usual = np.median(shingle_counts), np.median(word_counts)
         shingle_counts, word_counts = np.maximum(shingle_counts - usual[0], 1), np.maximum(word_counts - usual[1], 1)
@@ -303,6 +304,7 @@ def shingle_components(
     link with nothing and get a null component. An empty table gives an empty result; other columns
     of ``df`` are not read. Ids may be of any ordered type.
     """
+    words.small_batches(df.sparkSession)
     texts = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     spark: SparkSession = df.sparkSession
     counts = hashed_counts(texts, k)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.llm import words
+from tideline.llm import tokens, words
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -174,6 +174,7 @@ def _predict(model: Model, text_at: int):
         return total / np.add.reduceat(weight, first[:-1])[:, None]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
         for batch in batches:
             letters = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool)
             data, offsets = words.utf8(batch.column(text_at))
@@ -197,6 +198,7 @@ def identify(df: DataFrame, model: Model | None, text_col: str = "text") -> Data
     is looked at. Repeated rows get the same answer; of languages equally likely the first in
     order of names is given. Input columns called ``lang_pred`` or ``score`` are replaced.
     """
+    words.small_batches(df.sparkSession)
     names = [c for c in df.columns if c not in {"lang_pred", "score"}]
     letters = F.coalesce(F.col(f"`{text_col}`").rlike(r"\p{L}"), F.lit(False))
     rows = df.select(*[f"`{c}`" for c in names], letters.alias("_li_letters"))

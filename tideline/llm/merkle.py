@@ -186,6 +186,7 @@ def compare_with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     quantiles, and into larger ones for more than ``MOST_RANGES``; each range is read in order by one task, and the first row of the range after it is its
     guest, so no text moves more than once and no range depends on another.
     """
+    words.small_batches(df.sparkSession)
     rows = df.select(
         F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text")
     )

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideline.llm import words
+
 #: Costs in hundredths, so that flows are whole numbers.
 SCALE = 100
 #: What separating neighbours costs: of the page, and more with a common parent element.
@@ -281,6 +283,7 @@ def extract(df: DataFrame, html_col: str = "html") -> DataFrame:
     Pages are independent: rows that are repeated give equal results, an empty table an empty one. An input
     column ``text`` is replaced.
     """
+    words.small_batches(df.sparkSession)
     names = [c for c in df.columns if c not in {html_col, "text"}]
     rows = df.select(*[f"`{c}`" for c in names], F.col(f"`{html_col}`").cast("string").alias("_mc_html"))
     schema = rows.drop("_mc_html").schema.add("text", "string")

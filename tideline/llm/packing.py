@@ -90,6 +90,7 @@ def token_pieces(
     A document's tokens are those of its text (null: empty) and ``end_id``, so each has a piece.
     ``tokenizer`` is the path of a tokenizer file on every executor.
     """
+    words.small_batches(df.sparkSession)
     rows = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"

@@ -120,3 +120,8 @@ class Encoder:
 @cache
 def encoder(path: str) -> Encoder:
     return Encoder(path)
+
+
+def forget() -> None:
+    """Let go of the words of earlier stages; Python workers live on from stage to stage."""
+    encoder.cache_clear()

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -30,6 +31,18 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+#: Rows of a batch that a Python worker holds at once; Spark's own limit in bytes holds besides.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Have the session hand texts to Python workers in small batches, unless its batches are smaller."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(name, "10000"))
+    if rows <= 0 or rows > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a text column and the offsets of its rows; nulls are empty."""
     column = pc.fill_null(column.cast(pa.large_string()), "")
