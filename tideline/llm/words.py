@@ -54,7 +54,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(offsets: np.ndarray, limit: int = 2 << 20) -> Iterator[tuple[int, int]]:
+def slices(offsets: np.ndarray, limit: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``limit`` bytes each, so that temporary arrays stay small."""
     at, rows = 0, len(offsets) - 1
     while at < rows:
