@@ -8,6 +8,9 @@ truncation or padding.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from functools import cache
 from itertools import chain, repeat
 
@@ -123,5 +126,9 @@ def encoder(path: str) -> Encoder:
 
 
 def forget() -> None:
-    """Let go of the words of earlier stages; Python workers live on from stage to stage."""
-    encoder.cache_clear()
+    """Give back the memory of earlier stages; Python workers live on from stage to stage."""
+    if encoder.cache_info().currsize:
+        encoder.cache_clear()
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):  # another C library keeps what it has
+            ctypes.CDLL(None).malloc_trim(0)
