@@ -109,7 +109,7 @@ def _choose(frequency: np.ndarray, n: int, percent: int) -> int:
     """The number of shared prefix shingles to ask for, by expected postings met and pairs verified."""
     spare, most = n - _needed(n, percent), min(MOST_SHARED, _needed(n, percent))
     met = np.cumsum(np.maximum(frequency - 1.0, 0.0))
-    best = [met[spare + l - 1] * (1 + (1 + n / 50) / l) + spare + l for l in range(1, most + 1)]
+    best = [met[spare + l - 1] * (1 + (0.1 + n / 1000) / l) + spare + l for l in range(1, most + 1)]
     return int(np.argmin(best)) + 1
 
 
@@ -282,11 +282,19 @@ def _star_links(postings: DataFrame, lists: DataFrame, percent: int) -> DataFram
 
 def _open_links(postings: DataFrame, percent: int) -> DataFrame:
     """Candidates between different components; lists within one component have none."""
-    groups = postings.groupBy("token", "component").agg(F.count("*").alias("members"))
-    groups = written(groups.join(groups.groupBy("token").count().filter("count > 1"), "token"), "groups")
-    left = groups.select("token", F.col("component").alias("component_a"))
-    right = groups.select("token", F.col("component").alias("component_b"))
-    met = left.join(right, "token").filter("component_a < component_b")
+    groups = postings.groupBy("token", "component").agg(
+        F.min("place").alias("place"), F.min("n").alias("least"), F.max("n").alias("most"), F.max("asked").alias("asked")
+    )
+    groups = written(groups.join(groups.groupBy("token").count().filter("count > 1").drop("count"), "token"), "groups")
+    left, right = (groups.select("token", *[F.col(c).alias(f"{c}_{x}") for c in groups.columns[1:]]) for x in "ab")
+    # Some member of one may reach some member of the other: in the depth that the sizes most in favour allow.
+    deep = F.lit(True)
+    for x, y in ("ab", "ba"):
+        needed = F.floor((percent * (F.col(f"most_{x}") + F.col(f"least_{y}")) + 99 + percent) / (100 + percent))
+        deep &= F.col(f"place_{x}") < F.col(f"most_{x}") - needed + F.least("asked_a", "asked_b")
+    same = left["token"] == right["token"]
+    met = left.join(right, same & (F.col("component_a") < F.col("component_b")) & deep)
+    met = met.select(left["token"], "component_a", "component_b")
     met = met.join(_side(postings, "a", ["token"]), ["token", "component_a"])
     met = met.join(_side(postings, "b", ["token"]), ["token", "component_b"]).filter(_possible(percent))
     return _candidates(met, percent)
