@@ -171,3 +171,13 @@ def test_written_table_and_shared_folder(spark):
     assert rows(written(frame, "test")) == [(1, "a")]
     assert shared_dir(spark)
     assert rows(spark.createDataFrame([(1.5,), (None,)], "x double").select(plain.stored_text(F.col("x")))) == [("1.5",), ("nan",)]
+
+
+def test_repeating_an_old_batch_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for number in (0, 1, 2):
+        keyed.upsert(spark, path, batch(spark, ("a", number, f"2024-01-0{number + 1}")), ["id"], ["loaded_at"], batch=str(number))
+    keyed.upsert(spark, path, batch(spark, ("a", 1, "2024-01-02")), ["id"], ["loaded_at"], batch="1")
+    assert rows(keyed.read_keyed(spark, path).select("id", "v")) == [("a", 2)]
+    with pytest.raises(ValueError, match="other rows"):
+        keyed.upsert(spark, path, batch(spark, ("new", 9, "2024-02-01")), ["id"], ["loaded_at"], batch="2")

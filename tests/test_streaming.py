@@ -51,3 +51,16 @@ def test_staged_merge_stream(spark, tmp_path):
 
     assert run(("review", 1, 1, "r1", None, 1), ("review", 1, 2, "r2", None, 1)) == [(1, "r1", None), (2, "r2", None)]
     assert run(("issued", 2, 1, None, "i1", 2), ("review", 3, 2, None, None, 3)) == [(1, "r1", "i1"), (2, "r2", None)]
+
+
+def test_two_feeds_and_a_new_progress_folder_lose_nothing(spark, tmp_path):
+    target = str(tmp_path / "target")
+    schema = spark.createDataFrame([], SCHEMA).schema
+    for name in ("one", "two"):
+        land(spark, str(tmp_path / name), (name, 1, "2024-01-01"))
+    for feed, progress in (("one", "p1"), ("two", "p2"), ("one", "p3")):
+        stream = ingest.landed_stream(spark, str(tmp_path / feed), schema)
+        ingest.ingest_upsert(stream, target, str(tmp_path / progress), ["id"], ["at"], buckets=2)
+    land(spark, str(tmp_path / "one"), ("three", 3, "2024-01-02"))
+    ingest.ingest_upsert(ingest.landed_stream(spark, str(tmp_path / "one"), schema), target, str(tmp_path / "p3"), ["id"], ["at"], buckets=2)
+    assert rows(keyed.read_keyed(spark, target).select("id", "v"), "id") == [("one", 1), ("three", 3), ("two", 1)]

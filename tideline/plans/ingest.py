@@ -125,7 +125,7 @@ def ingest_permits(
     return keyed.read_keyed(spark, target).select(*[spec.name for spec in PERMIT_COLUMNS])
 
 
-def listing_rows(list_pages: DataFrame, detail_pages: DataFrame, max_records: int = 999999) -> DataFrame:
+def listing_rows(list_pages: DataFrame, detail_pages: DataFrame, max_records: int | None = None) -> DataFrame:
     """Listing cards with the fields of their detail pages, where there is one."""
     cards = html.listing_cards(list_pages, max_records)
     # One copy per address, the same one on every run.
@@ -182,9 +182,19 @@ def weather_rejects(payloads: DataFrame) -> DataFrame:
 
 
 def ingest_weather(
-    rows: DataFrame, target: str, loaded_at: AsOf = None, buckets: int = keyed.BUCKETS, batch: str | None = None
+    rows: DataFrame,
+    target: str,
+    loaded_at: AsOf = None,
+    buckets: int = keyed.BUCKETS,
+    batch: str | None = None,
+    rejects: DataFrame | None = None,
 ) -> DataFrame:
-    """Upsert daily rows by id; a reload replaces the days it covers."""
+    """Upsert daily rows by id; a reload replaces the days it covers.
+
+    ``rejects``, the payloads of ``weather_rejects``, must be empty; pass none to store what there is.
+    """
+    if rejects is not None and (bad := rejects.select("city").first()) is not None:
+        raise ValueError(f"the weather payload of {bad.city!r} does not parse or its arrays do not line up")
     stamped = rows.withColumn("loaded_at", F.lit(loaded_at).cast("timestamp_ntz") if loaded_at else F.localtimestamp())
     spark = rows.sparkSession
     keyed.upsert(spark, target, stamped, ["id"], ["loaded_at"], buckets=buckets, batch=batch)

@@ -32,6 +32,17 @@ def _finished(spark: SparkSession, path: str) -> bool:
     return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
 
+def _finish(spark: SparkSession, path: str) -> None:
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    marker.getFileSystem(spark._jsc.hadoopConfiguration()).create(marker).close()
+
+
+def _fingerprint(df: DataFrame, columns: Sequence[str]) -> tuple:
+    """Number of rows and sum of their hashes, whatever their order."""
+    row = F.xxhash64(*[f"`{c}`" for c in sorted(columns)]).cast("decimal(38,0)")
+    return tuple(df.agg(F.count("*"), F.sum(row)).first())
+
+
 def _bucket(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
@@ -78,26 +89,34 @@ def upsert(
 
     Columns are declared once: a batch with other columns than the table fails.
     ``buckets`` belongs to the table and must stay the same; it sets how much of the table
-    a small batch rewrites. ``bucket_by`` and ``partitions`` must be part of the key. A ``batch`` may be
-    repeated until the next one has run. Returns the folder of the batch's deduplicated rows.
+    a small batch rewrites. ``bucket_by`` and ``partitions`` must be part of the key. Repeating a ``batch`` that
+    is through changes nothing, whatever has run since; its name with other rows is an error (columns of
+    ``order_by`` may differ, as load times do). Returns the folder of the batch's deduplicated rows.
     """
     work = f"{path}.batches/{batch or uuid.uuid4().hex}"
     layout = [*partitions, BUCKET]
+    newest = latest_per_key(incoming, keys, order_by).withColumn(BUCKET, _bucket(bucket_by or keys, buckets))
     if not _finished(spark, f"{work}/incoming"):
-        newest = latest_per_key(incoming, keys, order_by)
-        newest = newest.withColumn(BUCKET, _bucket(bucket_by or keys, buckets))
         newest.write.mode("overwrite").parquet(f"{work}/incoming")
-    fresh = spark.read.parquet(f"{work}/incoming")
-    if _finished(spark, f"{work}/merged"):
-        replacement = spark.read.parquet(f"{work}/merged")
-    elif (current := _stored(spark, path, fresh.schema)) is None:
-        replacement = fresh
+        fresh = spark.read.parquet(f"{work}/incoming")
     else:
+        fresh = spark.read.parquet(f"{work}/incoming")
+        compared = [c for c in newest.columns if c not in order_by]
+        if _fingerprint(fresh, compared) != _fingerprint(newest, compared):
+            raise ValueError(f"batch {batch!r} of {path} has been used for other rows")
+    if _finished(spark, f"{work}/applied"):
+        return f"{work}/incoming"
+    replacement = fresh
+    if (current := _stored(spark, path, fresh.schema)) is not None:
         current = current.where(F.col(BUCKET).isin(_touched(fresh)))
-        merged = upserted(current, fresh, [BUCKET, *keys], order_by)
-        merged.write.mode("overwrite").parquet(f"{work}/merged")
-        replacement = spark.read.parquet(f"{work}/merged")
+        if _finished(spark, f"{work}/merged"):
+            # An earlier run stopped while it replaced folders: what it had merged may be in no other place.
+            current = upserted(spark.read.parquet(f"{work}/merged"), current, [BUCKET, *keys], order_by)
+        place = f"{work}/merged-{uuid.uuid4().hex}" if _finished(spark, f"{work}/merged") else f"{work}/merged"
+        upserted(current, fresh, [BUCKET, *keys], order_by).write.mode("overwrite").parquet(place)
+        replacement = spark.read.parquet(place)
     _replace_folders(replacement, path, layout)
+    _finish(spark, f"{work}/applied")
     return f"{work}/incoming"
 
 

@@ -58,7 +58,7 @@ def card_fields(card: Column) -> list[Column]:
     ]
 
 
-def listing_cards(list_pages: DataFrame, max_records: int = 999999) -> DataFrame:
+def listing_cards(list_pages: DataFrame, max_records: int | None = None) -> DataFrame:
     """``(region, html)`` pages to ``(region, url, title, price, neighborhood)`` rows."""
     return linked_rows(list_pages.select("region", "html"), CARD, card_fields, cap=max_records).drop("position")
 

@@ -25,6 +25,10 @@ def landed_stream(
     return reader.load(landing)
 
 
+def _batch_name(batch: DataFrame, number: int) -> str:
+    return f"stream-{batch.sparkSession.sparkContext.getLocalProperty('sql.streaming.queryId')}-{number}"
+
+
 def _run(stream: DataFrame, each: Callable[[DataFrame, int], None], progress: str) -> None:
     query: StreamingQuery = (
         stream.writeStream.foreachBatch(each)
@@ -44,11 +48,15 @@ def ingest_upsert(
     buckets: int = keyed.BUCKETS,
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> None:
-    """Upsert every micro-batch; a batch repeated after a failure resumes its own work."""
+    """Upsert every micro-batch; a batch repeated after a failure resumes its own work.
+
+    Batches are named after the stream's own id, which its progress folder keeps, so any number of
+    streams can feed one target, and one with a new progress folder starts anew.
+    """
 
     def each(batch: DataFrame, number: int) -> None:
         keyed.upsert(
-            batch.sparkSession, target, prepare(batch), keys, order_by, buckets=buckets, batch=f"stream-{number}"
+            batch.sparkSession, target, prepare(batch), keys, order_by, buckets=buckets, batch=_batch_name(batch, number)
         )
 
     _run(stream, each, progress)
@@ -65,7 +73,7 @@ def ingest_staged_merge(
     """Stage and merge every micro-batch; ``merge`` goes to ``sinks.keyed.staged_merge``."""
 
     def each(batch: DataFrame, number: int) -> None:
-        keyed.staged_merge(batch.sparkSession, staging, target, prepare(batch), batch=f"stream-{number}", **merge)
+        keyed.staged_merge(batch.sparkSession, staging, target, prepare(batch), batch=_batch_name(batch, number), **merge)
 
     _run(stream, each, progress)
 
