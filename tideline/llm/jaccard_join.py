@@ -47,6 +47,7 @@ def _count_blocks(k: int):
     """Per task: counts of hashed shingles (by document) and words, as blocks of numbers."""
 
     def run(batches):
+        tokens.forget()
         shingles, single = np.zeros(SHINGLE_SLOTS, np.uint32), np.zeros(WORD_SLOTS, np.uint32)
         seen = False
         for _, hashes, at in _rows(batches):
@@ -162,6 +163,7 @@ def _prefixes(k: int, percent: int, shared):
 
 def _sets(k: int):
     def run(batches):
+        tokens.forget()
         for ids, hashes, at in _rows(batches):
             sets = [np.unique(words.shingle_hashes(hashes[a:b], k)).tobytes() for a, b in zip(at[:-1], at[1:])]
             yield pa.RecordBatch.from_arrays([ids, pa.array(sets, pa.binary())], names=["id", "hashes"])
@@ -173,6 +175,7 @@ def _linked(percent: int):
     """Pairs whose whole sets reach the threshold."""
 
     def run(batches):
+        tokens.forget()
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("hashes_a"), batch.column("hashes_b")):
@@ -188,6 +191,7 @@ def _within_reach(percent: int):
     """Pairs whose prefixes allow the threshold: up to the end of the shorter one all shared shingles are known."""
 
     def run(batches):
+        tokens.forget()
         for batch in batches:
             keep = []
             for x, y, n_x, n_y in zip(*(batch.column(c) for c in ("prefix_a", "prefix_b", "n_a", "n_b"))):

@@ -32,7 +32,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 #: Rows of a batch that a Python worker holds at once; Spark's own limit in bytes holds besides.
-BATCH_ROWS = 1000
+BATCH_ROWS = 250
 
 
 def small_batches(spark: SparkSession) -> None:
