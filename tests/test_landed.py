@@ -65,8 +65,34 @@ def test_csv_headers_are_checked_and_line_breaks_kept(spark, tmp_path):
         ("1", 'two\nlines "quoted"', "issued", "2024-01-01"),
         (None, "nan", "issued", "2024-01-01"),
     ]
+    assert rows(landed.missing_columns(spark, str(tmp_path), ["A", "B"])) == []
     with pytest.raises(Exception, match="(?i)header"):
-        landed.read_csv_text(spark, str(tmp_path), ["B", "A"], ["date_type", "slice_date"]).collect()
+        landed.read_csv_text(spark, str(tmp_path), ["B", "A"], ["date_type", "slice_date"], by_name=False).collect()
+
+
+def test_csv_columns_are_found_by_name_in_each_file(spark, tmp_path):
+    files = {
+        "01": "A,B\n1,2\n",
+        "02": 'more,"B",A,A\nx,"two\nlines",3,again\n',
+        "03": "B\r\n5\r\n",
+        "04": "",
+        "05": "A,B\n",
+    }
+    for day_, text in files.items():
+        folder = tmp_path / f"slice_date={day_}"
+        folder.mkdir()
+        (folder / "a.csv").write_bytes(text.encode())
+    out = landed.read_csv_text(spark, str(tmp_path), ["A", "B"], ["slice_date"])
+    assert out.columns == ["A", "B", "slice_date"]
+    assert rows(out, "slice_date") == [("1", "2", "01"), ("3", "two\nlines", "02"), (None, "5", "03")]
+    [(file, missing)] = rows(landed.missing_columns(spark, str(tmp_path), ["A", "B"]))
+    assert file.endswith("slice_date=03/a.csv") and missing == ["A"]
+
+
+def test_hot_keys_of_a_dimension_with_many_rows_are_not_broadcast(spark):
+    frame = spark.createDataFrame([(7, i) for i in range(50)], "k int, v int")
+    dimension = spark.createDataFrame([(7, str(i)) for i in range(9)], "k int, name string")
+    assert landed.lookup_with_hot_keys(frame, dimension, "k", share=4).count() == 450
 
 
 def test_column_mapping_types_paths_and_derived(spark):

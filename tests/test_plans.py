@@ -47,4 +47,5 @@ def test_facts_are_aggregated_before_the_calendar(spark):
 
 
 def test_capped_slices_are_cut_before_the_shuffle(spark):
-    assert plan(spark, "slice_cap").count("WindowGroupLimit") == 2
+    # Before and after the shuffle, for the parts of a slice and for the slice.
+    assert plan(spark, "slice_cap").count("WindowGroupLimit") == 4

@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from tideline.functions.dates import AsOf, day
 
-# Spark prunes rows before the shuffle for rank filters up to this many rows per group
-# (spark.sql.optimizer.windowGroupLimitThreshold).
-_PRUNED_RANK = 1000
-
 
 def day_series(start: AsOf, end: AsOf, step_days: int = 1) -> Column:
     """Array of dates, both ends included; empty when end is before start."""
@@ -79,9 +75,9 @@ def cap_per_slice(
 ) -> DataFrame:
     """First ``n`` rows of every slice in a total order.
 
-    For a small cap Spark itself keeps only ``n`` rows per slice and task before it
-    shuffles. A large cap is applied first to ``salts`` parts of each slice, so that no
-    task ever sorts a whole hot slice, and then to the at most ``salts * n`` survivors.
+    The cap is applied first to ``salts`` parts of each slice, so that no task ever sorts
+    a whole hot slice, and then to the at most ``salts * n`` survivors. The plan is the
+    same for every ``n``.
     """
     order = [F.asc_nulls_last(name) for name in order_by]
 
@@ -89,10 +85,9 @@ def cap_per_slice(
         ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
         return ranked.where(F.col("_rank") <= n).drop("_rank")
 
-    if n > _PRUNED_RANK:
-        salt = F.pmod(F.xxhash64(*order_by), F.lit(salts))
-        df = first_rows(df.withColumn("_salt", salt), [*slice_columns, "_salt"]).drop("_salt")
-    return first_rows(df, slice_columns)
+    salt = F.pmod(F.xxhash64(*order_by), F.lit(salts))
+    parts = first_rows(df.withColumn("_salt", salt), [*slice_columns, "_salt"]).drop("_salt")
+    return first_rows(parts, slice_columns)
 
 
 def dense_grid(facts: DataFrame, by: str, date: str = "date", after: AsOf = None) -> DataFrame:

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from tideline.session import written
 
+#: Different values in one part, on average; the middle part of a group is ranked in one task.
+PART_ROWS = 1 << 18
+
 
 def exact_medians(df: DataFrame, by: Sequence[str], values: dict[str, Column]) -> DataFrame:
     """Median of each value per group; nulls and NaN are left out.
@@ -23,9 +26,11 @@ def exact_medians(df: DataFrame, by: Sequence[str], values: dict[str, Column]) -
     measures = F.array(*[F.struct(F.lit(n).alias("_m"), v.cast("double").alias("_v")) for n, v in values.items()])
     long = df.select(*by, F.inline(measures).alias("_m", "_v")).where("_v is not null and not isnan(_v)")
     group = [*by, "_m"]
-    counts = long.groupBy(*group, "_v").agg(F.count("*").alias("_n"))
+    # Written first: finding the range borders samples the counts, which would read the source again.
+    counts = written(long.groupBy(*group, "_v").agg(F.count("*").alias("_n")), "median-counts")
+    n_parts = counts.count() // PART_ROWS + 1
     parts = written(
-        counts.repartitionByRange(*group, "_v").withColumn("_part", F.spark_partition_id()), "median-parts"
+        counts.repartitionByRange(n_parts, *group, "_v").withColumn("_part", F.spark_partition_id()), "median-parts"
     )
 
     across = Window.partitionBy(*group).orderBy("_part")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,23 +12,60 @@ from pyspark.sql import types as T
 from tideline.session import written
 
 
+def csv_headers(spark: SparkSession, path: str) -> DataFrame:
+    """``file, header`` of every CSV file below ``path`` that is not empty; the header is its first line."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        # Within the first part of a file, which one task reads, ids follow the lines.
+        F.monotonically_increasing_id().alias("_at"),
+        "value",
+    )
+    return lines.where("_start = 0").groupBy("file").agg(F.min_by("value", "_at").alias("header"))
+
+
+def missing_columns(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """``file, missing`` for files whose header lacks some of ``columns``."""
+    names = F.split(F.regexp_replace("header", '["﻿\r]', ""), ",")
+    missing = csv_headers(spark, path).select("file", F.array_except(F.lit(list(columns)), names).alias("missing"))
+    return missing.where(F.size("missing") > 0)
+
+
 def read_csv_text(
-    spark: SparkSession, path: str, columns: Sequence[str], slice_columns: Sequence[str] = ()
+    spark: SparkSession,
+    path: str,
+    columns: Sequence[str],
+    slice_columns: Sequence[str] = (),
+    by_name: bool = True,
+    multi_line: bool = True,
 ) -> DataFrame:
     """CSV responses with every column a string; slice columns come from the folder names.
 
-    Headers are checked against ``columns`` in every file rather than trusted, and
-    quoted line breaks are kept. No inference pass runs over the data.
+    Columns are found by name in the header of each file, whatever their order: others are left out,
+    and one that a file lacks is null (``missing_columns`` reports those). That takes one pass
+    over the lines for the headers, then one scan per different header; only headers with the names of
+    their files reach the driver, which lists the files anyway. ``by_name=False`` saves the pass: every
+    file must then have exactly ``columns``, which is checked. ``multi_line=False`` lets Spark split
+    large files, for texts known to have no quoted line breaks.
     """
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*columns, *slice_columns]])
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .csv(path)
-    )
+
+    def scan(names: Sequence[str], files, enforce: bool) -> DataFrame:
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, *slice_columns]])
+        reader = spark.read.schema(schema).option("header", True).option("enforceSchema", enforce)
+        return reader.option("multiLine", multi_line).option("escape", '"').option("basePath", path).csv(files)
+
+    wanted = [*columns, *slice_columns]
+    if not by_name:
+        return scan(columns, path, enforce=False)
+    headers = csv_headers(spark, path).groupBy("header").agg(F.collect_list("file").alias("files"))
+    found = spark.createDataFrame([], T.StructType([T.StructField(name, T.StringType()) for name in wanted]))
+    for header, files in headers.collect():
+        names = next(csv.reader([header.lstrip("﻿")]), [])
+        # A name that is not wanted, or comes again, is only a place.
+        known = [name if name in columns and name not in names[:i] else f"_unused_{i}" for i, name in enumerate(names)]
+        rows = scan(known, files, enforce=True)
+        found = found.unionByName(rows.select(*[f"`{n}`" for n in wanted if n in rows.columns]), allowMissingColumns=True)
+    return found
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -72,11 +110,16 @@ def lookup_with_hot_keys(
     Keys with more than one row in ``share`` number fewer than ``share``, so their
     dimension rows, one per key, are safe to broadcast whatever the tables' size: hot rows
     are joined where they are read. All other rows join by shuffle, where no key is large.
+    A dimension with several rows for a hot key has no such bound; it is counted before
+    the broadcast, and left to ``lookup`` if it exceeds ``share`` rows.
     """
     total = df.agg(F.count("*")).scalar()
     counts = df.groupBy(on).agg(F.count("*").alias("_n")).where(F.col(on).isNotNull())
     hot = F.broadcast(written(counts.where(F.col("_n") * share > total).select(on), "hot-keys"))
-    hot_dimension = F.broadcast(dimension.join(hot, on, "left_semi"))
+    hot_dimension = written(dimension.join(hot, on, "left_semi"), "hot-dimension")
+    if hot_dimension.count() > share:
+        return df.join(dimension, on, how)
+    hot_dimension = F.broadcast(hot_dimension)
     hot_rows = df.join(hot, on, "left_semi").join(hot_dimension, on, how)
     other_rows = df.join(hot, on, "left_anti").join(dimension, on, how)
     return hot_rows.unionByName(other_rows)
