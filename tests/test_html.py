@@ -65,7 +65,7 @@ def test_rows_without_detail_page_stay(spark):
 
 def test_number_parsing(spark):
     frame = spark.createDataFrame([("$1,250.50",), ("none",), (None,), ("99999999999",)], "x string")
-    assert rows(frame.select(T.digits_int(F.col("x")))) == [(125050,), (None,), (None,), (None,)]
+    assert rows(frame.select(T.digits_int(F.col("x")))) == [(125050,), (None,), (None,), (99999999999,)]
     frame = spark.createDataFrame([("900ft²",), ("1,200 FT",), ("ft",)], "x string")
     assert rows(frame.select(T.number_before(F.col("x"), "ft"))) == [(900.0,), (200.0,), (None,)]
 

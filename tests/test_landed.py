@@ -24,13 +24,17 @@ def test_arrays_to_rows_and_rejects(spark):
         [("salem", good), ("bend", short), ("eugene", longer), ("x", "{broken"), ("y", payload([]))],
         "city string, payload string",
     )
-    got = rows(ingest.weather_rows(frame), "id")
+    got = rows(ingest.weather_rows(frame, strict=False), "id")
     assert got == [
         ("eugene_2024-01-03", "eugene", "2024-01-03", 1.0, 1.0, 2.0, 1.0),
         ("salem_2024-01-01", "salem", "2024-01-01", None, 1.0, 1.0, 1.0),
         ("salem_2024-01-02", "salem", "2024-01-02", 5.5, 1.0, 1.0, 1.0),
     ]
     assert {r.city for r in ingest.weather_rejects(frame).collect()} == {"bend", "x"}
+    assert rows(ingest.weather_rows(frame.where("city not in ('bend', 'x')")), "id") == got
+    for city in ("bend", "x"):
+        with pytest.raises(Exception, match="line up: " + city):
+            ingest.weather_rows(frame.where(F.col("city") == city)).collect()
 
 
 def test_unknown_dimension_key_is_reported(spark):
@@ -54,6 +58,25 @@ def test_weather_requests_resolve_today(spark):
     cities = spark.createDataFrame([("bend",)], "city string")
     out = ingest.weather_requests(spark, cities, as_of="2024-03-01").first()
     assert (out.start_date, out.end_date, out.lat) == ("2024-01-01", "2024-03-01", 44.0582)
+    cities = spark.createDataFrame([("bend",), ("paris",)], "city string")
+    assert ingest.weather_requests(spark, cities, as_of="2024-03-01", strict=False).count() == 1
+    with pytest.raises(Exception, match="unknown city: paris"):
+        ingest.weather_requests(spark, cities, as_of="2024-03-01").collect()
+
+
+def test_large_integers_keep_their_digits(spark):
+    frame = spark.createDataFrame([("3000000000",), ("9007199254740993",), ("4021.0",), ("2.5",), ("x",), (None,)], "a string")
+    got = [r[0] for r in frame.select(ColumnSpec("a", "integer").column()).collect()]
+    assert got == [3000000000, 9007199254740993, 4021, 2, None, None]
+
+
+def test_latest_copy_of_a_detail_page_counts(spark):
+    cards = spark.createDataFrame([("bend", '<li class="cl-static-search-result"><a href="u"></a></li>')], "region string, html string")
+    page = '<section id="postingbody">{}</section>'
+    copies = spark.createDataFrame([("u", page.format("zzz"), 1), ("u", page.format("new"), 2)], "url string, html string, at int")
+    [row] = ingest.listing_rows(cards, copies, landed_at="at").collect()
+    assert row.post_description == "new"
+    assert ingest.listing_rows(cards, copies).count() == 1
 
 
 def test_csv_headers_are_checked_and_line_breaks_kept(spark, tmp_path):

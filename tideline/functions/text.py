@@ -33,7 +33,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def digits_int(text: Column) -> Column:
     """All digits of the text read as one integer, so ``'$1,250.50'`` is 125050."""
-    return F.regexp_replace(text, r"[^0-9]", "").try_cast("int")
+    return F.regexp_replace(text, r"[^0-9]", "").try_cast("bigint")
 
 
 def number_before(text: Column, unit: str) -> Column:

@@ -59,6 +59,11 @@ def try_int(text: Column) -> Column:
     return round_to_int(try_double(text))
 
 
+def try_long(text: Column) -> Column:
+    """As ``try_int``, to a 64-bit integer; text without a fraction keeps all its digits."""
+    return F.coalesce(text.try_cast("bigint"), F.rint(try_double(text)).try_cast("bigint"))
+
+
 def try_timestamp(text: Column) -> Column:
     """Text to a zone-less timestamp, null when it is none."""
     return F.when(text.rlike(_TIMESTAMP_SHAPE), F.replace(text, F.lit("/"), F.lit("-"))).try_cast("timestamp_ntz")

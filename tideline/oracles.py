@@ -100,7 +100,7 @@ ORACLES["typed_from_strings"] = f"""
 """
 
 ORACLES["column_mapping"] = f"""
-    SELECT CAST(o_orderkey AS INTEGER) AS order_key, o_orderstatus AS status, o_totalprice AS total,
+    SELECT CAST(o_orderkey AS BIGINT) AS order_key, o_orderstatus AS status, o_totalprice AS total,
            o_orderpriority AS priority, {day_text('o_orderdate')} AS order_day,
            CAST(year(o_orderdate) AS INTEGER) AS order_year
     FROM orders
@@ -458,8 +458,8 @@ ORACLES["html_detail_join"] = f"""
 
 ORACLES["number_parse"] = f"""
     SELECT p_partkey,
-           CAST(regexp_replace('1' || CAST({cents('p_retailprice')} AS VARCHAR), '[^0-9]', '', 'g') AS INTEGER) AS price,
-           TRY_CAST(regexp_replace(p_name, '[^0-9]', '', 'g') AS INTEGER) AS no_digits,
+           CAST(regexp_replace('1' || CAST({cents('p_retailprice')} AS VARCHAR), '[^0-9]', '', 'g') AS BIGINT) AS price,
+           TRY_CAST(regexp_replace(p_name, '[^0-9]', '', 'g') AS BIGINT) AS no_digits,
            CAST(p_size + 1 AS DOUBLE) AS bedrooms, CAST(p_size AS DOUBLE) AS sqft
     FROM part
 """
@@ -763,7 +763,7 @@ ORACLES["permit_ingest"] = f"""
 ORACLES["listing_ingest"] = """
     SELECT c_mktsegment AS region, '/apa/' || CAST(c_custkey AS VARCHAR) AS url,
            CASE WHEN c_nationkey <> 3 THEN '2024-01-' || lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0') END AS posted,
-           CAST(floor(abs(c_acctbal)) AS INTEGER) AS price,
+           CAST(floor(abs(c_acctbal)) AS BIGINT) AS price,
            CASE WHEN c_nationkey <> 3 THEN CAST(c_nationkey % 4 AS DOUBLE) END AS bedrooms,
            CASE WHEN c_nationkey <> 3 THEN CAST(c_custkey AS DOUBLE) END AS sqft,
            'N&' || CAST(c_nationkey AS VARCHAR) AS neighborhood, c_name AS title, CAST(NULL AS VARCHAR) AS address,

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions import geo
 from tideline.functions import typing as ty
 from tideline.functions.dates import AsOf
 from tideline.operators import calendar, report
+from tideline.operators.dedup import latest_per_key
 from tideline.sinks import keyed, plain
 from tideline.sources import html, landed
 from tideline.sources.mapping import ColumnSpec, map_columns
@@ -125,11 +126,17 @@ def ingest_permits(
     return keyed.read_keyed(spark, target).select(*[spec.name for spec in PERMIT_COLUMNS])
 
 
-def listing_rows(list_pages: DataFrame, detail_pages: DataFrame, max_records: int | None = None) -> DataFrame:
-    """Listing cards with the fields of their detail pages, where there is one."""
+def listing_rows(
+    list_pages: DataFrame, detail_pages: DataFrame, max_records: int | None = None, landed_at: str | None = None
+) -> DataFrame:
+    """Listing cards with the fields of their detail pages, where there is one.
+
+    Of several copies of a detail page the latest by the column ``landed_at`` counts; without one, and
+    for ties, the copy with the greatest fields. Pages are parsed first, so that only fields are shuffled.
+    """
     cards = html.listing_cards(list_pages, max_records)
-    # One copy per address, the same one on every run.
-    details = html.listing_details(detail_pages.groupBy("url").agg(F.max("html").alias("html")))
+    order = [landed_at] if landed_at else []
+    details = latest_per_key(html.listing_details(detail_pages, order), ["url"], order).drop(*order)
     return map_columns(html.with_details(cards, details), LISTING_COLUMNS)
 
 
@@ -154,9 +161,20 @@ def city_dimension(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "city string, lat double, lon double")
 
 
-def weather_requests(spark: SparkSession, cities: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """One request per city: coordinates and date range up to ``as_of``."""
-    located = landed.lookup(cities, city_dimension(spark), "city")
+def _required(value: Column, message: Column) -> Column:
+    """``value``, or a failed job where it is null."""
+    return F.coalesce(value, F.raise_error(message))
+
+
+def weather_requests(spark: SparkSession, cities: DataFrame, as_of: AsOf = None, strict: bool = True) -> DataFrame:
+    """One request per city: coordinates and date range up to ``as_of``.
+
+    A city without coordinates fails the job; with ``strict=False`` it gets no request (``landed.unmatched`` lists those).
+    """
+    located = cities.join(city_dimension(spark), "city", "left" if strict else "inner")
+    if strict:
+        unknown = F.concat(F.lit("unknown city: "), F.coalesce(F.col("city").cast("string"), F.lit("null")))
+        located = located.withColumns({name: _required(F.col(name), unknown) for name in ("lat", "lon")})
     grid = calendar.slice_grid(spark, as_of, as_of).select(F.col("slice_start").cast("string").alias("end_date"))
     return located.select("*", F.lit(WEATHER_START).alias("start_date"), grid.scalar().alias("end_date"))
 
@@ -167,10 +185,17 @@ def parsed_weather(payloads: DataFrame) -> DataFrame:
     return parsed.select("city", "payload", *[F.col(f"p.daily.{name}").alias(name) for name in WEATHER_ARRAYS.values()])
 
 
-def weather_rows(payloads: DataFrame) -> DataFrame:
-    """One row per city and day; payloads whose arrays do not line up are left to ``weather_rejects``."""
+def weather_rows(payloads: DataFrame, strict: bool = True) -> DataFrame:
+    """One row per city and day.
+
+    A payload that does not parse or line up fails the job; with ``strict=False`` it is left to ``weather_rejects``.
+    """
     parsed = parsed_weather(payloads)
-    lined_up = parsed.where(landed.aligned_arrays(list(WEATHER_ARRAYS.values()), "time"))
+    good = landed.aligned_arrays(list(WEATHER_ARRAYS.values()), "time")
+    if strict:
+        bad = F.concat(F.lit("weather payload that does not parse or line up: "), F.coalesce("city", F.lit("null")))
+        good = _required(F.when(good, True), bad)
+    lined_up = parsed.where(good)
     rows = landed.arrays_to_rows(lined_up, WEATHER_ARRAYS, keep=["city"]).where(F.col("date").isNotNull())
     return rows.select(F.concat("city", F.lit("_"), "date").alias("id"), "city", *list(WEATHER_ARRAYS))
 

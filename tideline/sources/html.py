@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,15 +69,16 @@ def _attr_texts(html: Column) -> Column:
     return F.transform(spans, T.raw_text_of)
 
 
-def listing_details(detail_pages: DataFrame) -> DataFrame:
-    """``(url, html)`` pages to one row of detail fields each; what is not found is null."""
-    pages = detail_pages.select("url", T.visible_markup(F.col("html")).alias("html"))
+def listing_details(detail_pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """``(url, html)`` pages to one row of detail fields each, with the columns ``keep``; what is not found is null."""
+    pages = detail_pages.select("url", *keep, T.visible_markup(F.col("html")).alias("html"))
     html = F.col("html")
     place = T.first_element(html, DETAIL_MAP)
     body = T.without_elements(T.first_element(html, DETAIL_BODY), DETAIL_BODY_EXCLUDED)
     # The attribute texts feed two columns, so they are computed in a step of their own.
     pages = pages.select(
         "url",
+        *keep,
         T.attribute(T.first_element(html, DETAIL_TIME), "datetime").alias("posted"),
         _attr_texts(html).alias("_attrs"),
         place.alias("_map"),
@@ -86,6 +87,7 @@ def listing_details(detail_pages: DataFrame) -> DataFrame:
     )
     return pages.select(
         "url",
+        *keep,
         "posted",
         T.last_number_before(F.col("_attrs"), "BR").alias("bedrooms"),
         T.last_number_before(F.col("_attrs"), "ft").alias("sqft"),

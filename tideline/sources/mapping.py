@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tideline.functions import typing as ty
 
 # Declared type names and the Spark types they stand for.
-DECLARED_TYPES = {"string": "string", "integer": "int", "float": "double", "date": "date"}
+DECLARED_TYPES = {"string": "string", "integer": "bigint", "float": "double", "date": "date"}
 
 
 @dataclass(frozen=True)
@@ -32,7 +32,7 @@ class ColumnSpec:
             case "string":
                 typed = ty.null_if_marker(source.cast("string"))
             case "integer":
-                typed = ty.try_int(source.cast("string"))
+                typed = ty.try_long(source.cast("string"))
             case "float":
                 typed = ty.clean_double(source.cast("string"))
             case "date":
