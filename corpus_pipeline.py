@@ -12,6 +12,8 @@ from tideline.session import written
 
 #: Least probability of the likeliest language; texts of mixed languages stay.
 LEAST_SCORE = 0.3
+#: Words that a Python worker of the last stage remembers: workers there still hold what earlier stages needed.
+MOST_WORDS = 200_000
 
 
 def identified(spark, docs, sf_dir):
@@ -45,7 +47,7 @@ def pseudonymous(spark, docs, sf_dir):
 
 def packed(spark, docs, sf_dir):
     """Token pieces of the documents and their places in sequences."""
-    return packing.pack(packing.token_pieces(docs, queries.TOKENIZER))
+    return packing.pack(packing.token_pieces(docs, queries.TOKENIZER, most_words=MOST_WORDS))
 
 
 STAGES = [

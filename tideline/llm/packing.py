@@ -57,9 +57,10 @@ def place(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tup
     return runs, sequences
 
 
-def _pieces(path: str, end_id: int, capacity: int):
+def _pieces(path: str, end_id: int, capacity: int, most_words: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokens.encoder(path)
+        tokens.trim()
+        encoder = tokens.encoder(path, most_words)
         for batch in batches:
             ids, (data, offsets) = batch.column(0), words.utf8(batch.column(1))
             for lo, hi in words.slices(offsets):
@@ -83,18 +84,25 @@ def _pieces(path: str, end_id: int, capacity: int):
 
 
 def token_pieces(
-    df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, capacity: int = CAPACITY
+    df: DataFrame,
+    tokenizer: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    end_id: int = 2,
+    capacity: int = CAPACITY,
+    most_words: int | None = None,
 ) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens`` of pieces of at most ``capacity`` tokens.
 
     A document's tokens are those of its text (null: empty) and ``end_id``, so each has a piece.
-    ``tokenizer`` is the path of a tokenizer file on every executor.
+    ``tokenizer`` is the path of a tokenizer file on every executor. ``most_words`` bounds the words a
+    worker remembers (``tokens.MOST_WORDS`` unless given); fewer cost time, never tokens.
     """
     words.small_batches(df.sparkSession)
     rows = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
-    return rows.mapInArrow(_pieces(tokenizer, end_id, capacity), schema)
+    return rows.mapInArrow(_pieces(tokenizer, end_id, capacity, most_words), schema)
 
 
 def _ranked(pieces: DataFrame) -> DataFrame:

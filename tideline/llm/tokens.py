@@ -15,18 +15,20 @@ from functools import cache
 from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
 
 #: Words kept by one worker, about 200 MB; when they are more, the table starts anew.
 MOST_WORDS = 800_000
 
 
 class Encoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, most_words: int | None = None):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        self.most_words = most_words or MOST_WORDS
         size = self.tokenizer.get_vocab_size()
         names = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         self.closes_word = np.array([x.endswith("</w>") for x in names])
@@ -110,7 +112,7 @@ class Encoder:
         found = self._find(words)
         missing = {words[i] for i in np.flatnonzero(found < 0)}
         if missing:
-            if len(self.index) + len(missing) > MOST_WORDS:
+            if len(self.index) + len(missing) > self.most_words:
                 self._clear()
                 missing, found[:] = set(words), -1
             self._learn(missing)
@@ -121,13 +123,19 @@ class Encoder:
 
 
 @cache
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, most_words: int | None = None) -> Encoder:
+    return Encoder(path, most_words)
 
 
 def forget() -> None:
     """Give back the memory of earlier stages; Python workers live on from stage to stage."""
     encoder.cache_clear()
     gc.collect()
+    trim()
+
+
+def trim() -> None:
+    """Give freed memory back to the system, Arrow's own pool included."""
+    pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # another C library keeps what it has
         ctypes.CDLL(None).malloc_trim(0)
