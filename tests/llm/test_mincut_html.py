@@ -66,6 +66,19 @@ def test_boilerplate_goes(around, body):
     assert main_text(page) == f"The last boat {LONG} So it went. {LONG} & more of it!"
 
 
+@pytest.mark.parametrize("name", ["content has-sidebar", "post no-comments", "layout with-header", "page-with-ads", "search", "share-page", "legal"])
+@pytest.mark.parametrize("body", ["<article>{}</article>", "<main>{}</main>"])
+def test_names_around_the_article_do_not_take_it(name, body):
+    inside = f"<h1>The last boat</h1><p>{LONG}<p>{LONG}"
+    assert main_text(f'<body><div class="{name}">{body.format(inside)}</div></body>') == f"The last boat {LONG} {LONG}"
+
+
+def test_articles_of_listings_go():
+    for name in ("comments", "sidebar", "related"):
+        other = f'<div class="{name}"><article><p>{LONG}</p></article></div>'
+        assert main_text(f"<body><article><p>{LONG} Mine.</p></article>{other}</body>") == f"{LONG} Mine."
+
+
 def test_comments_inside_the_article_go():
     page = f"<article><p>{LONG}</p><div class='ad'>Buy now, it is cheap and good.</div><p>{LONG}</p><div id=comments><p>{LONG}</p></div></article>"
     assert main_text(page) == f"{LONG} {LONG}"

@@ -60,6 +60,13 @@ BOILERPLATE_NAMES = re.compile(
     r"|pager|popup|promo\w*|recommend\w*|related|replies|reply|respond|search|share|sharing|sidebar|signup|skip|social|sponsor\w*"
     r"|subscri\w*|tags|teaser|toolbar|widget|alert|complementary)(?:$|[\s_-])"
 )
+#: Parts of pages that have articles of their own, which are not the page's.
+LISTING_NAMES = re.compile(
+    r"(?:^|[\s_-])(?:ads?|advert\w*|aside|comments?|commentlist|discussion|disqus|footer|menu|modal|nav|navbar|navigation|popup|promo\w*"
+    r"|recommend\w*|related|replies|reply|respond|sidebar|sponsor\w*|teaser|widget)(?:$|[\s_-])"
+)
+#: Names that say what a page has beside or lacks, not what an element is.
+_LAYOUT_NAMES = re.compile(r"(?<![^\s_-])(?:has|with|without|no)[_-][\w-]*")
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?:script|style)\b.*?(?:</(?:script|style)\b[^>]*>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<(?P<broken>/?[a-zA-Z][^>]*)(?:>|\Z)",
@@ -77,6 +84,7 @@ class Element:
     boilerplate: bool = False
     named_content: bool = False
     named_boilerplate: bool = False
+    listing: bool = False
     hidden: bool = False
     unshown: bool = False
 
@@ -93,13 +101,17 @@ def _opened(name: str, attrs: str, parent: Element) -> Element:
     named = " ".join(a or b or c for a, b, c in _NAMES.findall(attrs)).lower() if attrs else ""
     # The header of an article is the article's own.
     boiler = name in BOILERPLATE_ELEMENTS and not (name == "header" and parent.article)
+    names = _LAYOUT_NAMES.sub("", named) if name not in ("html", "body") else ""
+    # The main element, and an article outside of listings, is not what the elements around it are called.
+    own = name == "main" or name == "article" and not parent.listing
     return Element(
         name,
         parent,
         parent.article or name in CONTENT_ELEMENTS,
         parent.boilerplate or boiler,
         parent.named_content or bool(named and CONTENT_NAMES.search(named)),
-        parent.named_boilerplate or bool(named and name not in ("html", "body") and BOILERPLATE_NAMES.search(named)),
+        (parent.named_boilerplate and not own) or bool(names and BOILERPLATE_NAMES.search(names)),
+        (parent.listing and not own) or bool(names and LISTING_NAMES.search(names)),
         parent.hidden or bool(attrs and _HIDDEN.search(attrs)),
         parent.unshown or name in UNSHOWN,
     )
