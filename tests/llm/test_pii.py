@@ -111,6 +111,18 @@ def test_formats_and_links(spark):
     assert other != one
 
 
+def test_phone_numbers_of_many_countries(spark):
+    numbers = [("44", "+44 20 7946 0958"), ("44", "+44 7911 123456"), ("49", "+49 30 1234567"), ("33", "+33 1 23 45 67 89"), ("34", "+34 912 345 678"),
+               ("1", "+1 (743) 555-3824"), ("972", "+972-3-123-4567"), ("49", "+49 (30) 1234567"), ("44", "+44 (0)20 7946 0958"), ("44", "+442079460958")]
+    rows = [(i, f"call {n}, or not +1234567 or +1234567890123456") for i, (_, n) in enumerate(numbers)]
+    got = pii.pseudonymise(spark.createDataFrame(rows, "id long, text string"), "k").orderBy("id").collect()
+    for (code, number), r in zip(numbers, got):
+        digits = re.sub("[^0-9]", "", number)
+        new = refill(number, code + run("k", "phone", digits[len(code) :]))
+        assert r.text == f"call {new}, or not +1234567 or +1234567890123456" and r.n_replaced == 1 and new != number
+    assert re.sub("[^0-9]", "", got[0].text[:22]) == re.sub("[^0-9]", "", got[9].text[:19])
+
+
 def test_edges(spark):
     long = "word " * 30000
     rows = [(1, None, "a"), (2, "", "b"), (3, "no data here, 12 of 34.5", "c"), (4, long + "4041894974608795", None), (4, "4041894974608795", "d")]

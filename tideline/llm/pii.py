@@ -17,7 +17,13 @@ CYCLE_DAYS = 146097
 _CYCLE_PARTS = 189, 773
 
 EMAIL = r"(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
-PHONE = r"(?<![\w+])\+[1-9][0-9]{0,2}[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
+#: Country codes as the ITU gives them; all that are not of one or two digits have three.
+COUNTRY = r"(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9][0-9]{2})"
+#: The grouping 3-3-4, or 8 to 15 digits with single separators, of which one group may be in parentheses.
+PHONE = (
+    r"(?<![\w+])\+(?:[1-9][0-9]{0,2}[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}|[1-9](?:[ .-]?[0-9]){7,14}"
+    r"|[1-9][0-9]{0,2}[ .-]?(?:\([0-9]\)(?:[ .-]?[0-9]){6,11}|\([0-9]{2,4}\)(?:[ .-]?[0-9]){5,8}))(?![0-9])"
+)
 CARD = r"(?<![\w.-])(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![\w-]|\.[0-9])"
 ADDRESS = r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\w|\.[0-9])"
 SOCIAL = r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"
@@ -107,11 +113,14 @@ def _card(key: str, value: Column) -> Column:
 
 
 def _phone(key: str, value: Column) -> Column:
-    """The ten national digits change; the country code stays."""
-    return _with(
-        _digits(value),
-        lambda d: _refilled(value, F.concat(F.substring(d, F.lit(1), F.length(d) - 10), _digit_run(key, "phone", F.substring(d, -10, 10)))),
-    )
+    """The digits after the country code change."""
+
+    def of_digits(digits: Column) -> Column:
+        national = F.regexp_replace(digits, f"^{COUNTRY}", "")
+        code = F.substring(digits, F.lit(1), F.length(digits) - F.length(national))
+        return _refilled(value, F.concat(code, _with(national, lambda n: _digit_run(key, "phone", n))))
+
+    return _with(_digits(value), of_digits)
 
 
 def _address(key: str, value: Column) -> Column:
@@ -237,8 +246,8 @@ def pseudonym(key: str, value: Column) -> Column:
 def pseudonymise(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """``df`` with personal data in ``text_col`` replaced, and ``n_replaced``, the number of values changed.
 
-    E-mail addresses (the name before the @), phone numbers with a country code, payment card numbers
-    (Luhn), IPv4 addresses, social security numbers, calendar dates, access keys and values given to a
+    E-mail addresses (the name before the @), phone numbers with + and a country code (8 to 15
+    digits), payment card numbers (Luhn), IPv4 addresses, social security numbers, calendar dates, access keys and values given to a
     password, token or secret. Texts without such a value, null and empty ones stay as they are, with
     0 replaced; everything but the values stays. Rows are independent, so repeated rows give equal
     results. An input column ``n_replaced`` is replaced.
