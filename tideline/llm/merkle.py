@@ -2,8 +2,9 @@
 
 Lines are paragraphs. A section ends at a blank line or after a paragraph whose digest ends in three
 zero bits, so an edit moves no section but its own. A node's digest covers those of its children and
-the root's covers every byte: roots are equal if and only if texts are. Below the paragraphs lie short
-runs of words, whose hashes follow the root in the fingerprint and tell how much two documents share.
+the root's covers every byte: roots are equal if and only if texts are. After the root a fingerprint has a
+separate flat sketch, hashes of short runs of words of the whole text. It is no part of the tree and
+ignores paragraphs; it tells how much two documents share.
 """
 
 from __future__ import annotations
