@@ -7,7 +7,7 @@ side; if those words do not come out as they did inside their chunks, the join i
 further word, up to whole chunks, until they do.
 
 Sharing goes through a bounded table in each worker, not a shuffle: bringing equal chunks of all documents
-together would move the whole corpus and all of its ids, which costs more than encoding does.
+together would move the whole corpus and all of its ids. What that would cost is not measured.
 """
 
 from __future__ import annotations
