@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tideline.llm import chunk_codec, language_id, merkle, mincut_html, packing, pii, reply_trees
+from tideline.llm import chunk_codec, fill_middle, language_id, merkle, mincut_html, packing, pii, reply_trees
 from tideline.llm.exact_dedup import exact_groups
 from tideline.llm.fuzzy_lines import line_groups
 from tideline.llm.jaccard_join import shingle_components
@@ -119,7 +119,50 @@ def op4_jaccard_join(spark, sf):
     return shingle_components(table(spark, sf, "documents"), k=3, percent=90)
 
 
+@query
+def op13_fill_middle(spark, sf):
+    made = fill_middle.fill_in_middle(table(spark, sf, "documents").select("doc_id", "text"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 ORACLES = {
+    "op13_fill_middle": r"""
+        WITH units AS (
+            SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS digest,
+                   regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS parts
+            FROM documents
+        ),
+        drawn AS (
+            SELECT *, len(parts) AS n, ('0x' || digest[1:8])::BIGINT AS h1, ('0x' || digest[9:16])::BIGINT AS h2,
+                   ('0x' || digest[17:24])::BIGINT AS h3, ('0x' || digest[25:32])::BIGINT AS h4
+            FROM units
+        ),
+        cut AS (
+            SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50
+                        THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+            FROM drawn
+        ),
+        pieces AS (
+            SELECT *, array_to_string(parts[1:a], '') AS prefix, array_to_string(parts[a + 1:b], '') AS middle,
+                   array_to_string(parts[b + 1:], '') AS suffix
+            FROM cut
+        )
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                      ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM pieces
+    """,
     "op6_chat": r"""
         WITH turns AS (
             SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
