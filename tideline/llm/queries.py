@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tideline.llm import chunk_codec, fill_middle, language_id, merkle, mincut_html, packing, pii, reply_trees
+from tideline.llm import chunk_codec, conversation_trie, fill_middle, language_id, merkle, mincut_html, packing, pii, reply_trees
 from tideline.llm.exact_dedup import exact_groups
 from tideline.llm.fuzzy_lines import line_groups
 from tideline.llm.jaccard_join import shingle_components
@@ -133,7 +133,68 @@ def op13_fill_middle(spark, sf):
     )
 
 
+def rebuilt(paths):
+    """Each conversation ``c`` with its first ``crc32(c) % 4`` turns taken from conversation ``c - c % 20``."""
+    heads = paths.filter("conv_id % 20 = 0").select(F.col("conv_id").alias("base"), F.slice("turns", 1, 3).alias("lead"))
+    taken = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4).cast("int")
+    both = paths.withColumns({"base": F.expr("conv_id - conv_id % 20"), "h": taken}).join(heads, "base", "left")
+    own = F.slice("turns", F.col("h") + 1, F.greatest(F.size("turns"), F.lit(1)))
+    lead = F.slice(F.coalesce("lead", F.slice("turns", 1, 0)), F.lit(1), F.col("h"))
+    return both.select("conv_id", F.concat(lead, own).alias("turns"))
+
+
+@query
+def op11_conversation_trie(spark, sf):
+    return conversation_trie.trie(rebuilt(conversation_trie.conversations(table(spark, sf, "conversations"))))
+
+
 ORACLES = {
+    "op11_conversation_trie": r"""
+        WITH turns AS (
+            SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST, role, text) AS turns
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+        ),
+        drawn AS (
+            SELECT *, xor(CAST(4294967295 AS BIGINT), list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT)),
+                lambda crc, b: list_reduce(range(8), lambda x, i: xor(x >> 1, (x & 1) * 3988292384), xor(crc, b)),
+                CAST(4294967295 AS BIGINT))) AS crc
+            FROM turns
+        ),
+        rebuilt AS (
+            SELECT a.conv_id, list_concat(coalesce(b.turns, [])[1:a.crc % 4], a.turns[a.crc % 4 + 1:]) AS turns
+            FROM drawn a LEFT JOIN turns b ON b.conv_id = a.conv_id - a.conv_id % 20
+        ),
+        prefixes AS (
+            SELECT conv_id, len(turns) AS total, unnest(range(len(turns) + 1)) AS depth, turns FROM rebuilt
+        ),
+        keyed AS (
+            SELECT conv_id, total, depth, md5(CAST(to_json(turns[1:depth]) AS VARCHAR)) AS key,
+                   CASE WHEN depth > 0 THEN md5(CAST(to_json(turns[1:depth - 1]) AS VARCHAR)) END AS parent,
+                   CASE WHEN depth > 0 THEN len(regexp_extract_all(turns[depth].t, '[^ 	-
+]+')) ELSE 0 END AS words
+            FROM prefixes
+        ),
+        nodes AS (
+            SELECT depth, key, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+                   sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = total), '')) AS ends_sha256
+            FROM keyed GROUP BY depth, key
+        ),
+        sized AS (
+            SELECT n.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM nodes c WHERE c.parent = n.key AND c.depth = n.depth + 1) AS n_children
+            FROM nodes n LEFT JOIN nodes p ON p.key = n.parent AND p.depth = n.depth - 1
+        ),
+        below AS (
+            SELECT DISTINCT a.depth, a.key, b.depth AS d, b.key AS k
+            FROM keyed a JOIN keyed b ON a.conv_id = b.conv_id AND b.depth >= a.depth
+        ),
+        added AS (
+            SELECT b.depth, b.key, sum((s.n_convs - 1) * s.words) AS saved_tokens, count(*) FILTER (s.n_children = 0) AS n_leaves
+            FROM below b JOIN sized s ON s.depth = b.d AND s.key = b.k GROUP BY b.depth, b.key
+        )
+        SELECT s.conv_id, s.depth, s.parent_conv_id, s.n_convs, s.n_children, a.n_leaves, CAST(a.saved_tokens AS BIGINT) AS saved_tokens,
+               s.ends_sha256
+        FROM sized s JOIN added a ON s.depth = a.depth AND s.key = a.key
+    """,
     "op13_fill_middle": r"""
         WITH units AS (
             SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS digest,
