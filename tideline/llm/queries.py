@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tideline.llm import chunk_codec, conversation_trie, fill_middle, language_id, merkle, mincut_html, packing, pii, reply_trees
+from tideline.llm import chunk_codec, conversation_trie, fill_middle, kmeans_tree, language_id, merkle, mincut_html, packing, pii, reply_trees
 from tideline.llm.exact_dedup import exact_groups
 from tideline.llm.fuzzy_lines import line_groups
 from tideline.llm.jaccard_join import shingle_components
@@ -119,6 +119,12 @@ def op4_jaccard_join(spark, sf):
     return shingle_components(table(spark, sf, "documents"), k=3, percent=90)
 
 
+@query
+def op12_kmeans_tree(spark, sf):
+    vectors = table(spark, sf, "embeddings")
+    return kmeans_tree.neighbours(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
 @query
 def op13_fill_middle(spark, sf):
     made = fill_middle.fill_in_middle(table(spark, sf, "documents").select("doc_id", "text"))
