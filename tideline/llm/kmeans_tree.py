@@ -29,6 +29,8 @@ CALIBRATION, RECALL = 256, 0.95
 BRANCH, LEAF, ROUNDS = 12, 24, 8
 #: Vectors and queries of a block, on average.
 BLOCK_VECTORS, BLOCK_QUERIES = 2048, 512
+#: Queries that one task walks the tree for, on average; rows are small, so their bytes would put too many in one.
+WALKS = 64
 
 
 class Tree:
@@ -272,7 +274,7 @@ def neighbours(
     distinct = written(distinct.mapInArrow(_packed, kind), "vectors")
     asked = asked.withColumn("key", _key("vector"))
     asked = written(asked.mapInArrow(_packed, "id bigint, vector binary, key struct<a: bigint, b: bigint>"), "queries")
-    queries_once = asked.dropDuplicates(["key"]).select("key", "vector")
+    queries_once = asked.dropDuplicates(["key"]).select("key", "vector").repartition(asked.count() // WALKS + 1, "key")
     spread = F.xxhash64("key")
     most = max(1, min(sample, SAMPLE_BYTES // (8 * size)))
     fitted = distinct.orderBy(spread, "key").limit(most).select("vector").toArrow()
