@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import pytest
 from conftest import day, rows, ts
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from tideline.plans import ingest
 from tideline.session import shared_dir, written
 from tideline.sinks import keyed, plain
+from tideline.sources import landed
 
 SCHEMA = "id string, v int, loaded_at timestamp_ntz"
 
@@ -58,16 +60,24 @@ def test_a_batch_with_other_columns_fails_and_changes_nothing(spark, tmp_path):
     assert state(spark, path) == [("a", 1)]
 
 
-def test_failed_batch_leaves_the_table_and_can_be_repeated(spark, tmp_path, monkeypatch):
+def lost(*_):
+    raise RuntimeError("lost")
+
+
+def half_written(df, folder, layout):
+    """What a job leaves that dies before its success marker."""
+    df.limit(1).write.parquet(folder)
+    next(iter(Path(folder).glob("_SUCCESS"))).unlink()
+    lost()
+
+
+@pytest.mark.parametrize("dies", [lost, half_written])
+def test_failed_batch_leaves_the_table_and_can_be_repeated(spark, tmp_path, monkeypatch, dies):
     path = str(tmp_path / "t")
     keyed.upsert(spark, path, batch(spark, ("a", 1, "2024-01-01")), ["id"], ["loaded_at"], batch="1")
     second = batch(spark, ("a", 2, "2024-01-02"), ("b", 3, "2024-01-02"))
-
-    def fail(*_):
-        raise RuntimeError("lost")
-
     with monkeypatch.context() as patch:
-        patch.setattr(keyed, "_replace_folders", fail)
+        patch.setattr(keyed, "_write", dies)
         with pytest.raises(RuntimeError):
             keyed.upsert(spark, path, second, ["id"], ["loaded_at"], batch="2")
     assert state(spark, path) == [("a", 1)]
@@ -75,15 +85,78 @@ def test_failed_batch_leaves_the_table_and_can_be_repeated(spark, tmp_path, monk
     assert state(spark, path) == [("a", 2), ("b", 3)]
 
 
-def test_untouched_buckets_are_not_rewritten(spark, tmp_path):
-    path = tmp_path / "t"
-    first = [(f"k{i}", i, "2024-01-01") for i in range(50)]
-    keyed.upsert(spark, str(path), batch(spark, *first), ["id"], ["loaded_at"], buckets=10)
-    before = {f for f in path.rglob("*.parquet")}
-    keyed.upsert(spark, str(path), batch(spark, ("k1", -1, "2024-01-02")), ["id"], ["loaded_at"], buckets=10)
-    after = {f for f in path.rglob("*.parquet")}
-    assert len({f.parent for f in before - after}) == 1
-    assert dict(state(spark, str(path))) == {k: v for k, v, _ in first} | {"k1": -1}
+def data_files(path):
+    return {f: f.stat().st_size for f in Path(path).rglob("*.parquet")}
+
+
+def test_a_batch_writes_its_own_rows_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    keyed.upsert(spark, path, batch(spark, *[(f"k{i}", i, "2024-01-01") for i in range(5000)]), ["id"], ["loaded_at"], buckets=10)
+    first = data_files(path)
+    keyed.compact(spark, path)
+    spread = [(f"k{i}", -i, "2024-01-02") for i in range(0, 5000, 100)]
+    keyed.upsert(spark, path, batch(spark, *spread), ["id"], ["loaded_at"], buckets=10)
+    second = data_files(path)
+    assert first.items() <= second.items()
+    assert sum(second.values()) - sum(first.values()) < sum(first.values()) / 5
+    assert dict(state(spark, path)) == {f"k{i}": -i if i % 100 == 0 else i for i in range(5000)}
+
+
+def test_compaction_changes_no_row(spark, tmp_path, monkeypatch):
+    path, rng = str(tmp_path / "t"), random.Random(7)
+
+    def append(number):
+        items = [(rng.choice([f"k{rng.randrange(40)}", None]), number * 100 + i, f"2024-01-{rng.randrange(1, 29):02d}") for i in range(30)]
+        keyed.upsert(spark, path, batch(spark, *items), ["id"], ["loaded_at"], buckets=5, batch=str(number))
+
+    for number in range(3):
+        append(number)
+    before = state(spark, path)
+    for dies in (lost, half_written):
+        with monkeypatch.context() as patch:
+            patch.setattr(keyed, "_write", dies)
+            with pytest.raises(RuntimeError):
+                keyed.compact(spark, path)
+        assert state(spark, path) == before
+    with monkeypatch.context() as patch:  # rows are written, the list of what they cover is not
+        patch.setattr(keyed, "_record", lost)
+        with pytest.raises(RuntimeError):
+            keyed.compact(spark, path)
+    assert state(spark, path) == before and keyed.remove_covered(spark, path) == []
+    assert len(keyed.compact(spark, path)) == 4
+    assert state(spark, path) == before
+    assert len(keyed.remove_covered(spark, path)) == 4
+    assert state(spark, path) == before and keyed.compact(spark, path) == []
+    keyed.upsert(spark, path, batch(spark, ("k0", -1, "2020-01-01")), ["id"], ["loaded_at"], buckets=5, batch="1")  # came before
+    assert state(spark, path) == before
+    append(3)
+    after = state(spark, path)
+    assert after != before
+    keyed.compact(spark, path)
+    assert state(spark, path) == after
+
+
+def test_rows_that_tie_follow_the_order_of_batches(spark, tmp_path):
+    path, at = str(tmp_path / "t"), "2024-01-01"
+    for value in (5, 9, 1):
+        keyed.upsert(spark, path, batch(spark, ("a", value, at)), ["id"], ["loaded_at"])
+        keyed.compact(spark, path)
+        assert state(spark, path) == [("a", value)]
+
+
+def test_a_table_keeps_its_declaration(spark, tmp_path):
+    path = str(tmp_path / "t")
+    keyed.upsert(spark, path, batch(spark, ("a", 1, "2024-01-01")), ["id"], ["loaded_at"])
+    with pytest.raises(ValueError, match="keys"):
+        keyed.upsert(spark, path, batch(spark, ("a", 1, "2024-01-01")), ["v"], ["loaded_at"])
+    with pytest.raises(ValueError, match="cannot name"):
+        keyed.upsert(spark, path, batch(spark, ("a", 1, "2024-01-01")), ["id"], ["loaded_at"], batch="a/b")
+    text = spark.createDataFrame([("01", 1, 1), ("1", 2, 1)], "part string, k int, at int")
+    keyed.upsert(spark, str(tmp_path / "p"), text, ["part", "k"], ["at"], partitions=["part"])
+    assert rows(keyed.read_keyed(spark, str(tmp_path / "p")).select("part", "k"), "k") == [("01", 1), ("1", 2)]
+    keyed.upsert(spark, str(tmp_path / "p"), text.where("k = 1"), ["part", "k"], ["at"], partitions=["part"])
+    keyed.compact(spark, str(tmp_path / "p"))
+    assert rows(keyed.read_keyed(spark, str(tmp_path / "p")).select("part", "k"), "k") == [("01", 1), ("1", 2)]
 
 
 def slices(spark):
@@ -114,10 +187,11 @@ def test_staged_merge_does_not_depend_on_arrival(spark, tmp_path, seed):
         for other in group[1:]:
             frame = frame.unionByName(other)
         keyed.staged_merge(
-            spark, str(tmp_path / "staging"), str(tmp_path / "target"), frame, "stage", "slice_date", ["k"],
+            spark, str(tmp_path / "staging"), frame, "stage", "slice_date", ["k"],
             ["review", "issued"], ["loaded_at", "slice_date", "stage"], buckets=3,
         )
-    got = rows(keyed.read_keyed(spark, str(tmp_path / "target")).select("k", "review", "issued"), "k")
+        keyed.compact(spark, str(tmp_path / "staging"))
+    got = rows(keyed.read_merged(spark, str(tmp_path / "staging")).select("k", "review", "issued"), "k")
     assert got == [
         (1, day("2024-01-01"), day("2024-01-04")),
         (2, day("2024-01-02"), None),
@@ -140,7 +214,7 @@ def test_permit_ingest_from_csv(spark, tmp_path):
     land("issued", "2024-01-05", line(1, issued="2024-01-05", sqft="900"))
     land("final", "2024-01-09", line(1, final="2024-01-09", review="nan"))
     merged = ingest.ingest_permits(
-        ingest.permit_rows(spark, str(tmp_path / "landing")), str(tmp_path / "s"), str(tmp_path / "t"), "2024-02-01"
+        ingest.permit_rows(spark, str(tmp_path / "landing")), str(tmp_path / "s"), "2024-02-01"
     )
     got = rows(merged.select("ivr_number", "under_review", "issued", "final", "address", "work", F.round("lat", 5)), "ivr_number")
     assert got == [
@@ -164,6 +238,8 @@ def test_staging_replaces_only_present_parameters(spark, tmp_path):
     plain.stage_by(spark.createDataFrame([(1, "a"), (2, "b")], "x int, p string"), path, "p")
     plain.stage_by(spark.createDataFrame([(3, "b")], "x int, p string"), path, "p")
     assert rows(spark.read.parquet(path), "p") == [(1, "a"), (3, "b")]
+    plain.stage_by(spark.createDataFrame([(4, "01"), (5, "1.50"), (6, None)], "x int, p string"), path, "p")
+    assert rows(landed.read_table(spark, path), "x") == [(1, "a"), (3, "b"), (4, "01"), (5, "1.50"), (6, None)]
 
 
 def test_written_table_and_shared_folder(spark):

@@ -37,17 +37,17 @@ def test_append_takes_every_row_once(spark, tmp_path):
 
 
 def test_staged_merge_stream(spark, tmp_path):
-    landing, staging, target, progress = (str(tmp_path / n) for n in ("landing", "staging", "target", "progress"))
+    landing, staging, progress = (str(tmp_path / n) for n in ("landing", "staging", "progress"))
     schema = "stage string, slice int, k int, r string, i string, at int"
 
     def run(*items):
         spark.createDataFrame(items, schema).write.mode("append").parquet(landing)
         stream = ingest.landed_stream(spark, landing, spark.createDataFrame([], schema).schema)
         ingest.ingest_staged_merge(
-            stream, staging, target, progress,
+            stream, staging, progress,
             stage="stage", slice_column="slice", keys=["k"], merge_columns=["r", "i"], order_by=["at", "slice", "stage"], buckets=2,
         )
-        return rows(keyed.read_keyed(spark, target).select("k", "r", "i"), "k")
+        return rows(keyed.read_merged(spark, staging).select("k", "r", "i"), "k")
 
     assert run(("review", 1, 1, "r1", None, 1), ("review", 1, 2, "r2", None, 1)) == [(1, "r1", None), (2, "r2", None)]
     assert run(("issued", 2, 1, None, "i1", 2), ("review", 3, 2, None, None, 3)) == [(1, "r1", "i1"), (2, "r2", None)]

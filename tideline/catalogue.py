@@ -490,7 +490,6 @@ def staged_merge(spark, sf):
         keyed.staged_merge(
             spark,
             f"{folder}/staging",
-            f"{folder}/target",
             batch,
             stage="event_type",
             slice_column="slice_date",
@@ -500,7 +499,7 @@ def staged_merge(spark, sf):
             buckets=FEW_BUCKETS,
             batch=str(number),
         )
-    return keyed.read_keyed(spark, f"{folder}/target").select("user_id", *STAGE_DATES, "event_id", "event_type")
+    return keyed.read_merged(spark, f"{folder}/staging").select("user_id", *STAGE_DATES, "event_id", "event_type")
 
 
 @query
@@ -514,6 +513,22 @@ def upsert_latest(spark, sf):
     return keyed.read_keyed(spark, path).select("user_id", "event_type", "event_id", "ts", "value")
 
 
+@query
+def keyed_compaction(spark, sf):
+    """Batches before and after a compaction whose covered folders are gone; one of the batches comes again."""
+    path = fresh_dir(spark, "compaction")
+    events = table(spark, sf, "events")
+    early, late = halves(events, "ts")
+    batches = {"odd": early.where("event_id % 2 = 1"), "even": early.where("event_id % 2 = 0"), "late": late}
+    for name, batch in batches.items():
+        if name == "late":
+            keyed.compact(spark, path)
+            keyed.remove_covered(spark, path)
+        keyed.upsert(spark, path, batch, ["user_id", "event_type"], ["ts", "event_id"], buckets=FEW_BUCKETS, batch=name)
+    keyed.upsert(spark, path, batches["odd"], ["user_id", "event_type"], ["ts", "event_id"], buckets=FEW_BUCKETS, batch="odd")
+    return keyed.read_keyed(spark, path).select("user_id", "event_type", "event_id", "ts", "value")
+
+
 @query
 def snapshot_append(spark, sf):
     path = fresh_dir(spark, "snapshots")
@@ -525,12 +540,13 @@ def snapshot_append(spark, sf):
 
 @query
 def stage_by_parameter(spark, sf):
-    """One folder per event type; a second run replaces only the types it brings."""
+    """One folder per event type and hour, which stays the text it was; a second run replaces only what it brings."""
     path = fresh_dir(spark, "stages")
-    events = table(spark, sf, "events").select("event_id", "value", "event_type")
-    plain.stage_by(events, path, "event_type")
-    plain.stage_by(events.where("event_type = 'click'").withColumn("value", F.lit(0.0)), path, "event_type")
-    return spark.read.parquet(path).groupBy("event_type").agg(F.count("*").alias("n"), money_sum("value").alias("total"))
+    events = table(spark, sf, "events").select("event_id", "value", "event_type", F.date_format("ts", "HH").alias("hour"))
+    plain.stage_by(events, path, "event_type", "hour")
+    plain.stage_by(events.where("event_type = 'click'").withColumn("value", F.lit(0.0)), path, "event_type", "hour")
+    staged = landed.read_table(spark, path).groupBy("event_type", "hour")
+    return staged.agg(F.count("*").alias("n"), money_sum("value").alias("total"))
 
 
 @query
@@ -899,7 +915,7 @@ def permit_ingest(spark, sf):
         landing = landing.withColumn(at, F.when(F.col("date_type") == stage, F.col(at)).otherwise(F.lit("nan")))
     landing.write.partitionBy("date_type", "slice_date").option("header", True).csv(f"{folder}/landing")
     rows = ingest.permit_rows(spark, f"{folder}/landing")
-    merged = ingest.ingest_permits(rows, f"{folder}/staging", f"{folder}/target", "2002-01-01", FEW_BUCKETS, "all")
+    merged = ingest.ingest_permits(rows, f"{folder}/staging", "2002-01-01", FEW_BUCKETS, "all")
     return merged.select(
         "ivr_number", "application_number", "under_review", "issued", "final", "work", "total_sqft",
         "submitted_valuation", F.round("lon", 9).alias("lon"), F.round("lat", 9).alias("lat"),

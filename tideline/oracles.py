@@ -365,6 +365,7 @@ _LATEST_EVENT = """
     QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY events.ts DESC, event_id DESC) = 1
 """
 ORACLES["upsert_latest"] = _LATEST_EVENT
+ORACLES["keyed_compaction"] = _LATEST_EVENT
 ORACLES["incremental_ingest"] = _LATEST_EVENT
 ORACLES["incremental_append"] = """
     SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, value, event_type FROM events
@@ -377,9 +378,9 @@ ORACLES["snapshot_append"] = """
 """
 
 ORACLES["stage_by_parameter"] = f"""
-    SELECT event_type, COUNT(*) AS n,
+    SELECT event_type, strftime(ts, '%H') AS hour, COUNT(*) AS n,
            CAST(SUM(CASE WHEN event_type = 'click' THEN 0 ELSE {cents('value')} END) AS DOUBLE) AS total
-    FROM events GROUP BY event_type
+    FROM events GROUP BY ALL
 """
 
 ORACLES["full_refresh"] = "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier"

@@ -105,7 +105,7 @@ def permit_rows(spark: SparkSession, landing: str) -> DataFrame:
 
 
 def ingest_permits(
-    rows: DataFrame, staging: str, target: str, loaded_at: AsOf = None, buckets: int = keyed.BUCKETS, batch: str | None = None
+    rows: DataFrame, staging: str, loaded_at: AsOf = None, buckets: int = keyed.BUCKETS, batch: str | None = None
 ) -> DataFrame:
     """Stage rows by event-date type, merge them per permit with the latest non-null dates."""
     stamped = rows.withColumn("loaded_at", F.lit(loaded_at).cast("timestamp_ntz") if loaded_at else F.localtimestamp())
@@ -113,7 +113,6 @@ def ingest_permits(
     keyed.staged_merge(
         spark,
         staging,
-        target,
         stamped,
         stage="date_type",
         slice_column="slice_date",
@@ -123,7 +122,7 @@ def ingest_permits(
         buckets=buckets,
         batch=batch,
     )
-    return keyed.read_keyed(spark, target).select(*[spec.name for spec in PERMIT_COLUMNS])
+    return keyed.read_merged(spark, staging).select(*[spec.name for spec in PERMIT_COLUMNS])
 
 
 def listing_rows(

@@ -1,77 +1,107 @@
-"""Keyed upsert and staged merge on plain Parquet.
-
-A keyed table is a Parquet folder partitioned by a hash bucket of the key. An upsert
-reads and rewrites only the buckets its keys fall into, in two durable steps: the
-merged buckets are first written next to the table, then copied over it. No job
-overwrites a path it reads, and a run that dies in either step is repeated under the
-same batch name until it is through. Where the table format has row-level merge, use
-``merge_into`` instead.
+"""Keyed tables on plain Parquet: batches are appended, and rows of a key merge when they are read.
+
+A batch is one folder that one Spark job writes; it counts once the job has left its success marker.
+Nothing that has been written is ever written again, so readers never meet half a change. Of the
+rows of a key the latest by ``order_by`` is the one that is read, whenever it came; so a batch that comes late,
+or again, does no harm, and neither does a compaction: it writes the merged rows as one more folder,
+which gives the same result with or without the folders it covers. Those are removed apart, when no
+reader can be using them. Where the table format has row-level merge, use ``merge_into`` instead.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from tideline.operators.dedup import latest_non_null, latest_per_key
+from tideline.declared import declaration, declare, files, like_declared, schema_of
+from tideline.operators.dedup import first_per_key, latest_non_null, latest_per_key
 
 BUCKET = "key_bucket"
 
-# A table of many terabytes wants thousands; a batch rewrites the buckets its keys fall into.
+# Folders of a compacted table by key hash; a table of many terabytes wants thousands.
 BUCKETS = 64
 
+# Compacted folders sort after the batch whose number they carry, which is the last that they cover.
+_COMPACTED = "~"
 
-def _finished(spark: SparkSession, path: str) -> bool:
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
+def _bucket(table: dict) -> Column:
+    return F.pmod(F.xxhash64(*table["bucket_by"]), F.lit(table["buckets"])).cast("int")
 
-def _finish(spark: SparkSession, path: str) -> None:
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    marker.getFileSystem(spark._jsc.hadoopConfiguration()).create(marker).close()
 
+def _written(spark: SparkSession, path: str, kind: str = "batch") -> list[str]:
+    """Names of finished folders, in order."""
+    pattern, system = files(spark, f"{path}/{kind}=*/_SUCCESS")
+    return sorted(f.getPath().getParent().getName().split("=", 1)[1] for f in system.globStatus(pattern))
 
-def _fingerprint(df: DataFrame, columns: Sequence[str]) -> tuple:
-    """Number of rows and sum of their hashes, whatever their order."""
-    row = F.xxhash64(*[f"`{c}`" for c in sorted(columns)]).cast("decimal(38,0)")
-    return tuple(df.agg(F.count("*"), F.sum(row)).first())
 
+def _covered(spark: SparkSession, path: str) -> set[str]:
+    """Names that a finished compaction holds the rows of, whether their folders are still there or not."""
+    records = [f"{path}/_covered={name}" for name in _written(spark, path, "_covered")]
+    return {row.value for row in spark.read.text(records).collect()} if records else set()
 
-def _bucket(keys: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
+def _live(spark: SparkSession, path: str) -> list[str]:
+    covered = _covered(spark, path)
+    return [name for name in _written(spark, path) if name not in covered]
 
-def _read_like(spark: SparkSession, path: str, like: StructType) -> DataFrame:
-    """Read a partitioned folder with the types of ``like``, not types guessed from folder names."""
-    known = {field.name: field for field in like}
-    found = spark.read.parquet(path).schema
-    return spark.read.schema(StructType([known.get(field.name, field) for field in found])).parquet(path)
 
+def _rows(spark: SparkSession, path: str, table: dict, names: Sequence[str]) -> DataFrame:
+    """Rows of some folders with ``batch`` and the bucket; only compacted ones are laid out by bucket."""
+    schema = schema_of(table).add("batch", "string")
+    reader = spark.read.option("basePath", path)
+    folders = {kind: [f"{path}/batch={n}" for n in names if (_COMPACTED in n) == kind] for kind in (False, True)}
+    found = spark.createDataFrame([], schema).withColumn(BUCKET, F.lit(None).cast("int"))
+    if folders[False]:
+        found = reader.schema(schema).parquet(*folders[False]).withColumn(BUCKET, _bucket(table))
+    if folders[True]:
+        compacted = reader.schema(schema_of(table).add("batch", "string").add(BUCKET, "integer")).parquet(*folders[True])
+        found = compacted.unionByName(found) if folders[False] else compacted
+    return found
 
-def _stored(spark: SparkSession, path: str, like: StructType) -> DataFrame | None:
-    """The table at ``path``; None while nothing has been committed there."""
-    try:
-        return _read_like(spark, path, like)
-    except AnalysisException as error:
-        if error.getCondition() in {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}:
-            return None
-        raise
 
+def _latest(rows: DataFrame, table: dict) -> DataFrame:
+    """One row per key; the one appended last stays when rows tie."""
+    return first_per_key(rows, [BUCKET, *table["keys"]], [F.desc_nulls_last(c) for c in [*table["order_by"], "batch"]])
 
-def upserted(current: DataFrame, incoming: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """One row per key out of both; the later by ``order_by`` stays, an incoming one when they tie."""
-    both = current.withColumn("_incoming", F.lit(0)).unionByName(incoming.withColumn("_incoming", F.lit(1)))
-    return latest_per_key(both, keys, [*order_by, "_incoming"]).drop("_incoming")
+
+def _merged(spark: SparkSession, path: str, table: dict, names: Sequence[str]) -> DataFrame:
+    """Rows of the folders merged; what was compacted is only shuffled where later batches have rows."""
+    compacted = [name for name in names if _COMPACTED in name]
+    if len(names) == 1:
+        return _rows(spark, path, table, names)  # a folder has one row per key
+    if len(compacted) != 1:
+        return _latest(_rows(spark, path, table, names), table)
+    later, base = _rows(spark, path, table, [n for n in names if n not in compacted]), _rows(spark, path, table, compacted)
+    touched = F.col(BUCKET).isin([row[0] for row in later.select(BUCKET).distinct().collect()])
+    return base.where(~touched).unionByName(_latest(base.where(touched).unionByName(later), table))
 
 
 def read_keyed(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(BUCKET)
+    """The table as it stands: one row per key."""
+    table = declaration(spark, path)
+    return _merged(spark, path, table, _live(spark, path)).drop("batch", BUCKET)
+
+
+def _write(df: DataFrame, folder: str, layout: Sequence[str]) -> None:
+    """Rebalancing gathers the rows of a folder but splits a large one over several tasks."""
+    df = df.hint("rebalance", *layout) if layout else df
+    df.write.mode("overwrite").partitionBy(*layout).parquet(folder)
+
+
+def _same_rows(a: DataFrame, b: DataFrame, but: Sequence[str]) -> bool:
+    """Whether number and summed hashes of the rows agree in all but some columns."""
+
+    def print_of(df: DataFrame) -> tuple:
+        row = F.xxhash64(*[f"`{c}`" for c in sorted(b.columns) if c not in but]).cast("decimal(38,0)")
+        return tuple(df.agg(F.count("*"), F.sum(row)).first())
+
+    return print_of(a) == print_of(b)
 
 
 def upsert(
@@ -84,58 +114,66 @@ def upsert(
     bucket_by: Sequence[str] | None = None,
     partitions: Sequence[str] = (),
     batch: str | None = None,
-) -> str:
-    """Merge ``incoming`` into the keyed table at ``path``; the latest row of a key wins, however late it comes.
-
-    Columns are declared once: a batch with other columns than the table fails.
-    ``buckets`` belongs to the table and must stay the same; it sets how much of the table
-    a small batch rewrites. ``bucket_by`` and ``partitions`` must be part of the key. Repeating a ``batch`` that
-    is through changes nothing, whatever has run since; its name with other rows is an error (columns of
-    ``order_by`` may differ, as load times do). Returns the folder of the batch's deduplicated rows.
+    **declared,
+) -> None:
+    """Append ``incoming`` to the keyed table at ``path``; the latest row of a key is read, however late it comes.
+
+    The table is declared by its first batch; one with other columns, keys or order fails. A batch writes
+    its own rows, one per key, and reads nothing else. Repeating a ``batch`` that is through changes nothing; its name
+    with other rows is an error as long as its folder is there (columns of ``order_by`` may differ, as load times do).
+    ``bucket_by``, which says how compacted rows are laid out, and ``partitions`` must be part of the key.
     """
-    work = f"{path}.batches/{batch or uuid.uuid4().hex}"
-    layout = [*partitions, BUCKET]
-    newest = latest_per_key(incoming, keys, order_by).withColumn(BUCKET, _bucket(bucket_by or keys, buckets))
-    if not _finished(spark, f"{work}/incoming"):
-        newest.write.mode("overwrite").parquet(f"{work}/incoming")
-        fresh = spark.read.parquet(f"{work}/incoming")
-    else:
-        fresh = spark.read.parquet(f"{work}/incoming")
-        compared = [c for c in newest.columns if c not in order_by]
-        if _fingerprint(fresh, compared) != _fingerprint(newest, compared):
-            raise ValueError(f"batch {batch!r} of {path} has been used for other rows")
-    if _finished(spark, f"{work}/applied"):
-        return f"{work}/incoming"
-    replacement = fresh
-    if (current := _stored(spark, path, fresh.schema)) is not None:
-        current = current.where(F.col(BUCKET).isin(_touched(fresh)))
-        if _finished(spark, f"{work}/merged"):
-            # An earlier run stopped while it replaced folders: what it had merged may be in no other place.
-            current = upserted(spark.read.parquet(f"{work}/merged"), current, [BUCKET, *keys], order_by)
-        place = f"{work}/merged-{uuid.uuid4().hex}" if _finished(spark, f"{work}/merged") else f"{work}/merged"
-        upserted(current, fresh, [BUCKET, *keys], order_by).write.mode("overwrite").parquet(place)
-        replacement = spark.read.parquet(place)
-    _replace_folders(replacement, path, layout)
-    _finish(spark, f"{work}/applied")
-    return f"{work}/incoming"
-
-
-def _touched(fresh: DataFrame) -> list[int]:
-    """Bucket numbers of a batch, to prune folders with; there are no more of them than buckets."""
-    return [row[0] for row in fresh.select(BUCKET).distinct().collect()]
-
-
-def _replace_folders(df: DataFrame, path: str, layout: Sequence[str]) -> None:
-    """Replace the folders ``df`` has rows for. Rebalancing gathers the rows of a folder but
-    splits a large one over several tasks, so no bucket has to fit a task."""
-    writer = df.hint("rebalance", *layout).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*layout).parquet(path)
+    if batch is not None and not re.fullmatch(r"[\w.-]+", batch):
+        raise ValueError(f"{batch!r} cannot name a batch")
+    layout = {"keys": list(keys), "order_by": list(order_by), "buckets": buckets, "bucket_by": list(bucket_by or keys)}
+    table = declaration(spark, path)
+    rows = like_declared(incoming, table) if table else incoming
+    table = declare(spark, path, table and schema_of(table) or incoming.schema, **layout, partitions=list(partitions), **declared)
+    newest = latest_per_key(rows, keys, order_by)
+    finished = _written(spark, path)
+    if batch is not None:
+        known = [name for name in finished if name.split("-", 1)[1] == batch]
+        if known:
+            if not _same_rows(_rows(spark, path, table, known), newest, order_by):
+                raise ValueError(f"batch {batch!r} of {path} has been used for other rows")
+            return
+        if any(name.split("-", 1)[1] == batch for name in _covered(spark, path)):
+            return
+    number = 1 + max((int(name.split("-", 1)[0]) for name in finished), default=0)
+    _write(newest, f"{path}/batch={number:08d}-{batch or uuid.uuid4().hex}", table["partitions"])
+
+
+def _record(spark: SparkSession, place: str, names: Sequence[str]) -> None:
+    spark.createDataFrame([(name,) for name in names], "value string").coalesce(1).write.text(place)
+
+
+def compact(spark: SparkSession, path: str) -> list[str]:
+    """Write the merged rows of all finished folders as one, laid out by bucket; returns the folders it covers.
+
+    It may run beside readers and batches and may be killed at any time: until its rows and the list of what
+    they cover are written, readers use the folders there were, and afterwards either gives the same rows.
+    """
+    table, live = declaration(spark, path), _live(spark, path)
+    if len(live) < 2:
+        return []
+    name = f"{live[-1].split('-', 1)[0]}-{_COMPACTED}{uuid.uuid4().hex}"
+    _write(_merged(spark, path, table, live).drop("batch"), f"{path}/batch={name}", [*table["partitions"], BUCKET])
+    _record(spark, f"{path}/_covered={name}", live)
+    return live
+
+
+def remove_covered(spark: SparkSession, path: str) -> list[str]:
+    """Delete the folders whose rows a compaction holds; call it when readers from before that are done."""
+    gone = [name for name in _written(spark, path) if name in _covered(spark, path)]
+    for name in gone:
+        place, system = files(spark, f"{path}/batch={name}")
+        system.delete(place, True)
+    return gone
 
 
 def staged_merge(
     spark: SparkSession,
-    staging_path: str,
-    target_path: str,
+    staging: str,
     incoming: DataFrame,
     stage: str,
     slice_column: str,
@@ -145,16 +183,15 @@ def staged_merge(
     buckets: int = BUCKETS,
     batch: str | None = None,
 ) -> None:
-    """Stage landed slices by parameter, then merge all stages of the touched buckets into the target.
+    """Stage landed slices by parameter; ``read_merged`` gives one row per key out of all stages.
 
     Staging keeps one row per stage, slice and key, so a replayed slice replaces itself and
-    a later slice with an empty column cannot erase an earlier value. Staging and target
-    share their buckets: those the batch touches are merged anew from all stages and
-    replace the target's, which therefore need not be read.
+    a later slice with an empty column cannot erase an earlier value. The merge needs each of those
+    rows with its own time, so that is what a compaction keeps as well.
     """
-    landed = upsert(
+    upsert(
         spark,
-        staging_path,
+        staging,
         incoming,
         keys=[stage, slice_column, *keys],
         order_by=order_by,
@@ -162,14 +199,15 @@ def staged_merge(
         bucket_by=keys,
         partitions=[stage],
         batch=batch,
+        merge={"keys": list(keys), "columns": list(merge_columns)},
     )
-    fresh = spark.read.parquet(landed)
-    touched = _touched(fresh)
-    if not touched:
-        return
-    staged = _read_like(spark, staging_path, fresh.schema).where(F.col(BUCKET).isin(touched))
-    merged = latest_non_null(staged, [BUCKET, *keys], merge_columns, order_by)
-    _replace_folders(merged, target_path, [BUCKET])
+
+
+def read_merged(spark: SparkSession, staging: str) -> DataFrame:
+    """One row per key out of all stages, each merge column with its latest non-null value."""
+    table = declaration(spark, staging)
+    merge = table["merge"]
+    return latest_non_null(read_keyed(spark, staging), merge["keys"], merge["columns"], table["order_by"])
 
 
 def merge_into(incoming: DataFrame, table: str, keys: Sequence[str], order_by: Sequence[str]) -> None:

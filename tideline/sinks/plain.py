@@ -5,16 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideline.declared import declare
 from tideline.functions.dates import AsOf, day
 
 
 def append_snapshot(df: DataFrame, path: str, as_of: AsOf = None, column: str = "snapshot_date") -> None:
     """Add the rows as the snapshot of one day; earlier snapshots are never touched."""
-    df.withColumn(column, day(as_of)).write.mode("append").partitionBy(column).parquet(path)
+    dated = df.withColumn(column, day(as_of))
+    declare(df.sparkSession, path, dated.schema)
+    dated.write.mode("append").partitionBy(column).parquet(path)
 
 
 def stage_by(df: DataFrame, path: str, *parameters: str) -> None:
-    """One folder per parameter value; only the values present in ``df`` are replaced."""
+    """One folder per parameter value; only the values present in ``df`` are replaced.
+
+    ``landed.read_table`` gives parameters back with the types they had.
+    """
+    declare(df.sparkSession, path, df.schema)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*parameters).parquet(path)
 

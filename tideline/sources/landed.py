@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideline.declared import declaration, schema_of
 from tideline.session import written
 
 
@@ -69,8 +70,11 @@ def read_csv_text(
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """Catalog table, or a Parquet folder or glob when ``name`` is a path."""
-    return spark.read.parquet(name) if "/" in name else spark.table(name)
+    """Catalog table, or a Parquet folder or glob when ``name`` is a path, with its declared types if it has any."""
+    if "/" not in name:
+        return spark.table(name)
+    declared = declaration(spark, name)
+    return (spark.read.schema(schema_of(declared)) if declared else spark.read).parquet(name)
 
 
 def parsed_json(payload: Column, schema: T.StructType | str) -> Column:

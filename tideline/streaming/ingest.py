@@ -65,15 +65,14 @@ def ingest_upsert(
 def ingest_staged_merge(
     stream: DataFrame,
     staging: str,
-    target: str,
     progress: str,
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
     **merge,
 ) -> None:
-    """Stage and merge every micro-batch; ``merge`` goes to ``sinks.keyed.staged_merge``."""
+    """Stage every micro-batch; ``merge`` goes to ``sinks.keyed.staged_merge``, ``sinks.keyed.read_merged`` merges them."""
 
     def each(batch: DataFrame, number: int) -> None:
-        keyed.staged_merge(batch.sparkSession, staging, target, prepare(batch), batch=_batch_name(batch, number), **merge)
+        keyed.staged_merge(batch.sparkSession, staging, prepare(batch), batch=_batch_name(batch, number), **merge)
 
     _run(stream, each, progress)
 
