@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from tideline.operators import calendar, quality
 from tideline.plans import permits
+from tideline.session import written
 
 RAW_COLUMNS = [
     "IVR_NUMBER", "APPLICATION_NUMBER", "STATUS", "TYPE", "DESCRIPTION", "WORK", "ADDRESS", "SET_UP", "UNDER_REVIEW",
@@ -109,6 +110,25 @@ def test_by_category_drops_small_areas_and_leaves_review_dates_null(spark):
     assert dated.where("date is null").isEmpty()
 
 
+def test_all_categories_come_from_one_scan(spark, tmp_path, capsys):
+    facts(spark).write.parquet(str(tmp_path / "facts"))
+    stored = spark.read.parquet(str(tmp_path / "facts"))
+    categories = ["function_type", "structure_type", "work_type"]
+    days = permits.category_days(stored, categories, "2024-01-10")
+    days.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("FileScan parquet") == 1 and plan.count("Exchange hashpartitioning") == 1
+    assert "address" not in plan.split("ReadSchema")[1]
+    kept = written(days, "days")
+    for category in categories:
+        one = permits.by_date_and(stored, spine(spark), category, "2024-01-10")
+        order = [F.asc_nulls_last(c) for c in ("date", category, "count_permits_review")]
+        assert rows(permits.by_category(kept, spine(spark), category), *order) == rows(one, *order)
+    # A null category is a group of its own, apart from the nulls of other grouping sets.
+    of_null = kept.where("kind = 'work_type' and stage = 'review' and value is null")
+    assert rows(of_null.select("date", "count_permits_review")) == [(day("2024-01-02"), 3)]
+
+
 def test_this_week_is_eight_days_newest_and_largest_first(spark):
     records = [
         {"IVR_NUMBER": str(i), "ISSUED": f"2024-01-{d:02d}", "TOTAL_SQFT": sqft, "DESCRIPTION": f"p{i}"}

@@ -35,6 +35,28 @@ def stages_daily(facts: DataFrame, stages: dict[str, Column], measures: dict[str
     )
 
 
+def stages_by_category(
+    facts: DataFrame, stages: dict[str, Column], measures: dict[str, dict[str, Column]], categories: Sequence[str]
+) -> DataFrame:
+    """Daily rollups by each of several categories, one after the other, from a single scan and a single shuffle.
+
+    Rows are ``kind`` (name of the category column), ``value`` (its value), ``stage`` and ``date`` with the measures
+    of that stage; those of other stages see no row. Every fact becomes one narrow row per stage and
+    category, which partial aggregation reduces before the shuffle.
+    """
+    events = F.array(*[F.struct(F.lit(n).alias("_stage"), F.to_date(at).alias("date")) for n, at in stages.items()])
+    long = facts.select("*", F.inline(events).alias("_stage", "date")).where("date is not null")
+    sets = [[F.col("date"), F.col("_stage"), F.col(c)] for c in categories]
+    kind = F.coalesce(*[F.when(F.grouping(c) == 0, F.lit(c)) for c in categories])
+    value = F.coalesce(*[F.when(F.grouping(c) == 0, F.col(c)) for c in categories])
+    grouped = long.groupingSets(sets, "date", "_stage", *categories).agg(
+        kind.alias("kind"),
+        value.alias("value"),
+        *[measure.alias(name) for stage in measures.values() for name, measure in stage.items()],
+    )
+    return grouped.withColumnRenamed("_stage", "stage").drop(*categories)
+
+
 def on_stage(stage: str, value: Column, also: Column | None = None) -> Column:
     """``value`` on rows of ``stage`` (and where ``also`` holds), null elsewhere."""
     condition = F.col("_stage") == stage

@@ -667,6 +667,8 @@ _PER_DAY = f"""{_sides(None)},
 
 ORACLES["permits_by_date"] = f"{_PER_DAY} SELECT * REPLACE (CAST(date AS VARCHAR) AS date) FROM per_day"
 
+ORACLES["permit_tables"] = ORACLES["permits_by_date"]
+
 ORACLES["rolling_permits_timeseries"] = f"""{_PER_DAY},
     w AS (
         SELECT date, AVG(total_sqft_issued_amt) OVER t AS total_sqft_issued_amt,

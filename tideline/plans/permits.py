@@ -7,6 +7,8 @@ several rollups are wanted; it has five consumers.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from tideline.functions import geo
 from tideline.functions import typing as ty
 from tideline.functions.rules import Rule, categorise
 from tideline.operators import dedup, report, rolling, rollup
+from tideline.session import written
 
 # Categories, the type names and occupancy codes they cover, in rule order.
 WORK_RULES = [Rule("Addition/Alteration", equals={"work": ["Addition", "Alteration"]})]
@@ -132,18 +135,24 @@ def typed(raw: DataFrame, loaded_at: str = "updated_at", nan_is_area: bool = Fal
     return parsed.withColumn("location", geo.point(F.col("longitude"), F.col("latitude")))
 
 
+def primary(records: DataFrame) -> DataFrame:
+    """Records of primary applications."""
+    return records.where(F.substring("application_number", PRIMARY_MARK_AT, len(PRIMARY_MARK)) == PRIMARY_MARK)
+
+
+def cleaning_order(records: DataFrame) -> list[Column]:
+    """The record whose later of issue and review time is earliest comes first; the other columns break ties."""
+    ties = [name for name in records.columns if name not in {"ivr_number", "location"}]
+    return [c.asc_nulls_last() for c in (F.greatest("issued_at", "under_review_at"), *[F.col(name) for name in ties])]
+
+
 def cleaned(records: DataFrame, loaded_at: str = "updated_at") -> DataFrame:
     """Primary applications, one per key, with categories, durations and ratios.
 
     Of several records the one whose later of issue and review time is earliest is kept,
     those without either last; the other columns break ties.
     """
-    primary = records.where(
-        F.substring("application_number", PRIMARY_MARK_AT, len(PRIMARY_MARK)) == PRIMARY_MARK
-    )
-    ties = [name for name in records.columns if name not in {"ivr_number", "location"}]
-    order = [F.greatest("issued_at", "under_review_at"), *[F.col(name) for name in ties]]
-    kept = dedup.first_per_key(primary, ["ivr_number"], [c.asc_nulls_last() for c in order])
+    kept = dedup.first_per_key(primary(records), ["ivr_number"], cleaning_order(records))
     times = [F.col(name) for name in ("set_up_at", "under_review_at", "issued_at", "final_at")]
     value = F.coalesce("final_valuation_amt", "submitted_valuation_amt")
     return kept.select(
@@ -262,24 +271,44 @@ def by_date(facts: DataFrame, calendar: DataFrame, as_of: D.AsOf = None) -> Data
     return _with_issue_ratios(rollup.on_spine(calendar, daily, zero=_zero_filled(names)))
 
 
-def by_date_and(
-    facts: DataFrame, calendar: DataFrame, category: str, as_of: D.AsOf = None, coalesce_date: bool = False
-) -> DataFrame:
-    """Per calendar day and category: permits issued and entering review, large areas only.
+def category_days(facts: DataFrame, categories: Sequence[str], as_of: D.AsOf = None) -> DataFrame:
+    """Per day, stage and value of each category: permits issued and entering review, large areas only.
+
+    All categories come from one scan of the facts; store it when more than one model is wanted.
+    """
+    measures = {
+        "issued": _issued(lambda c: rollup.on_stage("issued", c)),
+        "review": _reviewed(lambda c: rollup.on_stage("review", c), F.col("date"), as_of),
+    }
+    times = {"issued": F.col("issued_at"), "review": F.col("under_review_at")}
+    large = facts.where(F.col("total_sqft_amt") > CATEGORY_MIN_SQFT)
+    return rollup.stages_by_category(large, times, measures, categories)
+
+
+def by_category(days: DataFrame, calendar: DataFrame, category: str, coalesce_date: bool = False) -> DataFrame:
+    """Per calendar day and value of one category, out of ``category_days``.
 
     Literal full-join rows: a review without an issue of its category that day has a null
     date unless ``coalesce_date`` is set.
     """
-    large = F.col("total_sqft_amt") > CATEGORY_MIN_SQFT
-    issued = _issued(lambda c: c)
-    reviewed = _reviewed(lambda c: c, F.to_date("under_review_at"), as_of)
-    left = rollup.daily(facts, F.col("issued_at"), issued, [category], large)
-    right = rollup.daily(facts, F.col("under_review_at"), reviewed, [category], large)
-    left = rollup.on_spine(calendar, left, zero=_zero_filled(issued))
-    right = rollup.on_spine(calendar, right, zero=_zero_filled(reviewed))
+
+    def side(stage: str, names: Sequence[str]) -> DataFrame:
+        of = days.where((F.col("kind") == category) & (F.col("stage") == stage))
+        of = of.select("date", F.col("value").alias(category), *names)
+        return rollup.on_spine(calendar, of, zero=_zero_filled(names))
+
+    left = side("issued", list(_issued(lambda c: c)))
+    right = side("review", list(_reviewed(lambda c: c, F.col("date"), None)))
     return _with_issue_ratios(rollup.full_combine(calendar, left, right, category, coalesce_date=coalesce_date))
 
 
+def by_date_and(
+    facts: DataFrame, calendar: DataFrame, category: str, as_of: D.AsOf = None, coalesce_date: bool = False
+) -> DataFrame:
+    """``by_category`` of a single category. Its day rows are written to the shared folder, so the facts are read once."""
+    return by_category(written(category_days(facts, [category], as_of), "category-days"), calendar, category, coalesce_date)
+
+
 def rolling_series(
     per_day: DataFrame, warmup_from: D.AsOf = WARMUP_FROM, report_from: D.AsOf = REPORT_FROM, rows: int = 366
 ) -> DataFrame:

@@ -15,10 +15,10 @@ import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tideline.declared import declaration, declare, files, like_declared, schema_of
+from tideline.declared import declaration, declare, exists, files, like_declared, schema_of
 from tideline.operators.dedup import first_per_key, latest_non_null, latest_per_key
 
 BUCKET = "key_bucket"
@@ -66,15 +66,19 @@ def _rows(spark: SparkSession, path: str, table: dict, names: Sequence[str]) ->
 
 
 def _latest(rows: DataFrame, table: dict) -> DataFrame:
-    """One row per key; the one appended last stays when rows tie."""
-    return first_per_key(rows, [BUCKET, *table["keys"]], [F.desc_nulls_last(c) for c in [*table["order_by"], "batch"]])
+    """One row per key, the one appended last when rows tie; of a table of slices all rows that came with it."""
+    order = [F.desc_nulls_last(c) for c in [*table["order_by"], "batch"]]
+    if not table["slices"]:
+        return first_per_key(rows, [BUCKET, *table["keys"]], order)
+    rank = F.rank().over(Window.partitionBy(BUCKET, *table["keys"]).orderBy(*order))
+    return rows.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
 def _merged(spark: SparkSession, path: str, table: dict, names: Sequence[str]) -> DataFrame:
     """Rows of the folders merged; what was compacted is only shuffled where later batches have rows."""
     compacted = [name for name in names if _COMPACTED in name]
     if len(names) == 1:
-        return _rows(spark, path, table, names)  # a folder has one row per key
+        return _rows(spark, path, table, names)  # a folder has one row, or one slice, per key
     if len(compacted) != 1:
         return _latest(_rows(spark, path, table, names), table)
     later, base = _rows(spark, path, table, [n for n in names if n not in compacted]), _rows(spark, path, table, compacted)
@@ -82,6 +86,21 @@ def _merged(spark: SparkSession, path: str, table: dict, names: Sequence[str]) -
     return base.where(~touched).unionByName(_latest(base.where(touched).unionByName(later), table))
 
 
+def finished(spark: SparkSession, folder: str) -> bool:
+    """Whether the job that wrote a folder came to its end."""
+    return exists(spark, f"{folder}/_SUCCESS")
+
+
+def is_table(spark: SparkSession, path: str) -> bool:
+    """Whether a batch has been appended at ``path``."""
+    return declaration(spark, path) is not None and bool(_written(spark, path))
+
+
+def has_batch(spark: SparkSession, path: str, batch: str) -> bool:
+    """Whether a batch of that name has been appended, even if a compaction holds its rows now."""
+    return any(name.split("-", 1)[1] == batch for name in {*_written(spark, path), *_covered(spark, path)})
+
+
 def read_keyed(spark: SparkSession, path: str) -> DataFrame:
     """The table as it stands: one row per key."""
     table = declaration(spark, path)
@@ -114,6 +133,7 @@ def upsert(
     bucket_by: Sequence[str] | None = None,
     partitions: Sequence[str] = (),
     batch: str | None = None,
+    slices: bool = False,
     **declared,
 ) -> None:
     """Append ``incoming`` to the keyed table at ``path``; the latest row of a key is read, however late it comes.
@@ -122,14 +142,17 @@ def upsert(
     its own rows, one per key, and reads nothing else. Repeating a ``batch`` that is through changes nothing; its name
     with other rows is an error as long as its folder is there (columns of ``order_by`` may differ, as load times do).
     ``bucket_by``, which says how compacted rows are laid out, and ``partitions`` must be part of the key.
+    With ``slices`` a key stands for all rows that a batch has for it, which replace those of earlier batches
+    together; ``order_by`` should then be equal in all rows of a slice, or empty.
     """
     if batch is not None and not re.fullmatch(r"[\w.-]+", batch):
         raise ValueError(f"{batch!r} cannot name a batch")
     layout = {"keys": list(keys), "order_by": list(order_by), "buckets": buckets, "bucket_by": list(bucket_by or keys)}
+    layout |= {"partitions": list(partitions), "slices": slices}
     table = declaration(spark, path)
     rows = like_declared(incoming, table) if table else incoming
-    table = declare(spark, path, table and schema_of(table) or incoming.schema, **layout, partitions=list(partitions), **declared)
-    newest = latest_per_key(rows, keys, order_by)
+    table = declare(spark, path, table and schema_of(table) or incoming.schema, **layout, **declared)
+    newest = rows if slices else latest_per_key(rows, keys, order_by)
     finished = _written(spark, path)
     if batch is not None:
         known = [name for name in finished if name.split("-", 1)[1] == batch]
@@ -137,7 +160,7 @@ def upsert(
             if not _same_rows(_rows(spark, path, table, known), newest, order_by):
                 raise ValueError(f"batch {batch!r} of {path} has been used for other rows")
             return
-        if any(name.split("-", 1)[1] == batch for name in _covered(spark, path)):
+        if has_batch(spark, path, batch):
             return
     number = 1 + max((int(name.split("-", 1)[0]) for name in finished), default=0)
     _write(newest, f"{path}/batch={number:08d}-{batch or uuid.uuid4().hex}", table["partitions"])
