@@ -123,6 +123,59 @@ def test_phone_numbers_of_many_countries(spark):
     assert re.sub("[^0-9]", "", got[0].text[:22]) == re.sub("[^0-9]", "", got[9].text[:19])
 
 
+def symbols(key, kind, value, sixteens=True):
+    """Letters and digits moved within their classes, one half by a hash of the other in turn."""
+    classes = ["0123456789abcdef"] if sixteens and re.fullmatch("[0-9a-f]+", value) else ["0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]
+    halves = [value[: len(value) // 2], value[len(value) // 2 :]]
+    for i in range(pii.ROUNDS):
+        mask = hashlib.sha256("|".join([key, kind, str(len(value)), str(i), halves[1 - i % 2]]).encode()).hexdigest()
+        out = ""
+        for j, c in enumerate(halves[i % 2]):
+            of = next((a for a in classes if c in a), None)
+            out += of[(of.index(c) + number(key, mask, j) % len(of)) % len(of)] if of else c
+        halves[i % 2] = out
+    return "".join(halves)
+
+
+def test_secrets_and_addresses_of_any_length(spark):
+    values = ["hunter2xyz99", "Ab3_xY9-zz", "0f" * 30, "k" * 129, "aB3_" * 5000, "x" * 7]
+    forms = ["password={}", 'API_KEY: "{}"', '{{"Token": "{}"}}', "Secret='{}';", "apikey : {}."]
+    rows = [(i, form.format(v)) for i, (form, v) in enumerate((f, v) for v in values for f in forms)]
+    rows.append((100, f"write to {'n' * 70}.x@{'sub.' * 12}example.museum."))
+    got = {r.id: r.text for r in pii.pseudonymise(spark.createDataFrame(rows, "id long, text string"), "k").collect()}
+    for i, (form, v) in enumerate((f, v) for v in values for f in forms):
+        assert got[i] == form.format(symbols("k", "secret", v) if len(v) >= 8 else v)
+    assert got[100] == f"write to {symbols('k', 'email', 'n' * 70 + '.x')}@{'sub.' * 12}example.museum."
+
+
+def mod97(text):
+    return int("".join(str(int(c, 36)) for c in text)) % 97
+
+
+def test_accounts_keep_their_country_and_check(spark):
+    good = ["GB82 WEST 1234 5698 7654 32", "DE89370400440532013000", "FR1420041010050500013M02606", "NO93 8601 1117 947"]
+    bad = ["GB83 WEST 1234 5698 7654 32", "DE89370400440532013001", "GB82 WEST12345698765432", "DE89370400440532013000X1Y2Z3Q4W5E6"]
+    rows = [(i, f"pay {v}, please") for i, v in enumerate(good + bad)]
+    got = [r.text for r in pii.pseudonymise(spark.createDataFrame(rows, "id long, text string"), "k").orderBy("id").collect()]
+    assert got[len(good) :] == [t for _, t in rows[len(good) :]]
+    for value, text in zip(good, got):
+        new = text.removeprefix("pay ").removesuffix(", please")
+        plain, old = new.replace(" ", ""), value.replace(" ", "")
+        assert re.sub("[0-9]", "0", re.sub("[A-Z]", "A", new)) == re.sub("[0-9]", "0", re.sub("[A-Z]", "A", value))
+        assert new != value and plain[:2] == old[:2] and mod97(plain[4:] + plain[:4]) == 1
+        assert plain[4:] == symbols("k", "iban", old[4:], sixteens=False)
+
+
+def test_dates_in_all_formats(spark):
+    days = ["0001-01-01", "9600-12-31", "1987-02-28"]
+    kept = ["0000-05-05", "00.01.2000", "05/05/0000", "9601-01-01", "13/13/2001"]
+    rows = [(i, text) for i, text in enumerate([*(d[8:] + "." + d[5:7] + "." + d[:4] for d in days), *(d[5:7] + "/" + d[8:] + "/" + d[:4] for d in days), *days, *kept])]
+    got = [r.text for r in pii.pseudonymise(spark.createDataFrame(rows, "id long, text string"), "k").orderBy("id").collect()]
+    new = [brute("k", d) for d in days]
+    assert got == [*(d[8:] + "." + d[5:7] + "." + d[:4] for d in new), *(d[5:7] + "/" + d[8:] + "/" + d[:4] for d in new), *new, *kept]
+    assert all(a != b for a, b in zip(new, days))
+
+
 def test_edges(spark):
     long = "word " * 30000
     rows = [(1, None, "a"), (2, "", "b"), (3, "no data here, 12 of 34.5", "c"), (4, long + "4041894974608795", None), (4, "4041894974608795", "d")]

@@ -16,7 +16,9 @@ ROUNDS = 8
 CYCLE_DAYS = 146097
 _CYCLE_PARTS = 189, 773
 
-EMAIL = r"(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
+#: Names of any length; a domain has at most 126 parts of 63 characters.
+EMAIL = r"(?<![\w.%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}\.){1,126}[A-Za-z]{2,63}"
+IBAN = r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"
 #: Country codes as the ITU gives them; all that are not of one or two digits have three.
 COUNTRY = r"(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9][0-9]{2})"
 #: The grouping 3-3-4, or 8 to 15 digits with single separators, of which one group may be in parentheses.
@@ -29,8 +31,8 @@ ADDRESS = r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\w|\.[0-9])"
 SOCIAL = r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"
 DATE = r"(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![\w/-]|\.[0-9])"
 ACCESS = r"(?<!\w)AKIA[0-9A-Z]{16}(?!\w)"
-SECRET = r"(?<=(?:token|password|passwd|secret|api_key|apikey)[ ]{0,1}[=:][ ]{0,1}[\"']{0,1})[A-Za-z0-9_-]{8,128}+"
-PATTERN = "|".join([EMAIL, PHONE, DATE, SOCIAL, CARD, ADDRESS, ACCESS, SECRET])
+SECRET = r"(?<=(?i:token|password|passwd|secret|api_key|apikey)[\"']{0,1}[ ]{0,1}[=:][ ]{0,1}[\"']{0,1})[A-Za-z0-9_-]{8,}+"
+PATTERN = "|".join([EMAIL, PHONE, DATE, SOCIAL, CARD, IBAN, ADDRESS, ACCESS, SECRET])
 
 
 def _number(key: str, *parts: Column) -> Column:
@@ -112,6 +114,31 @@ def _card(key: str, value: Column) -> Column:
     return _with(_digits(value), of_digits)
 
 
+def _mod97(text: Column) -> Column:
+    """Letters count as two digits, from A = 10 on."""
+    step = lambda r, c: F.when(c.rlike("[0-9]"), r * 10 + F.ascii(c) - 48).otherwise(r * 100 + F.ascii(c) - 55) % 97
+    return F.aggregate(F.filter(F.split(text, ""), lambda c: c != ""), F.lit(0), step)
+
+
+def _iban(key: str, value: Column) -> Column:
+    """The account changes within its letters and digits, the country stays, the two check digits follow."""
+
+    def of_plain(plain: Column) -> Column:
+        country, account = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain))
+
+        def checked(new: Column) -> Column:
+            digits = F.lpad((F.lit(98) - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
+            whole = F.concat(country, digits, new)
+            # Spaces, if any, stand after every fourth character.
+            return F.when(value.contains(" "), F.trim(F.regexp_replace(whole, "(.{4})", "$1 "))).otherwise(whole)
+
+        valid = _mod97(F.concat(account, F.substring(plain, 1, 4))) == 1
+        return F.when(valid, _with(_symbols(key, "iban", account, sixteens=False), checked)).otherwise(value)
+
+    even = ~value.contains(" ") | value.rlike(r"\A(?:\w{4} )+\w{1,4}\z")
+    return F.when(even, _with(F.replace(value, F.lit(" "), F.lit("")), of_plain)).otherwise(value)
+
+
 def _phone(key: str, value: Column) -> Column:
     """The digits after the country code change."""
 
@@ -181,18 +208,19 @@ def _date(key: str, value: Column) -> Column:
             out = F.when(iso, F.date_format(moved, "yyyy-MM-dd"))
             return out.when(dots, F.date_format(moved, "dd.MM.yyyy")).otherwise(F.date_format(moved, "MM/dd/yyyy"))
 
-        # The years from 9601 on are an unfinished cycle.
-        return F.when(date.isNotNull() & (date < F.lit("9601-01-01").cast("date")), _with(new, text)).otherwise(value)
+        # The years from 9601 on are an unfinished cycle, and years before 1 do not fit the format.
+        known = date.between(origin, F.lit("9600-12-31").cast("date"))
+        return F.when(known, _with(new, text)).otherwise(value)
 
     return _with(F.try_to_date(padded, "yyyy-MM-dd"), of_date)
 
 
-def _symbols(key: str, kind: str, value: Column) -> Column:
+def _symbols(key: str, kind: str, value: Column, sixteens: bool = True) -> Column:
     """Letters and digits permuted within their classes; one half of the text masks the other in turn.
 
-    Hexadecimal text keeps to its sixteen symbols. Everything else stays in place.
+    Hexadecimal text keeps to its sixteen symbols unless ``sixteens`` is off. Everything else stays in place.
     """
-    hexadecimal = value.rlike("^[0-9a-f]+$")
+    hexadecimal = value.rlike("^[0-9a-f]+$") & F.lit(sixteens)
     n, half = F.length(value), F.floor(F.length(value) / 2).cast("int")
     sixteen = "0123456789abcdef"
 
@@ -210,13 +238,10 @@ def _symbols(key: str, kind: str, value: Column) -> Column:
         )
 
     def shifted(side: Column, other: Column, i: Column) -> Column:
-        return F.array_join(
-            F.transform(
-                F.filter(F.sequence(F.lit(0), F.length(side)), lambda j: j > 0),
-                lambda j: moved(F.substring(side, j, F.lit(1)), _number(key, F.lit(kind), n, i, j, other)),
-            ),
-            "",
-        )
+        # The other half is hashed once a round, so that long values cost no more than their length.
+        mask = F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), n.cast("string"), i.cast("string"), other), 256)
+        symbols = F.filter(F.split(side, ""), lambda c: c != "")
+        return _with(mask, lambda m: F.array_join(F.transform(symbols, lambda c, j: moved(c, _number(key, m, j))), ""))
 
     def turn(state: Column, i: Column) -> Column:
         left = F.when(i % 2 == 0, shifted(state["left"], state["right"], i)).otherwise(state["left"])
@@ -238,6 +263,7 @@ def pseudonym(key: str, value: Column) -> Column:
         .when(whole(SOCIAL), _social(key, value))
         .when(whole(ADDRESS), _address(key, value))
         .when(whole(CARD), _card(key, value))
+        .when(whole(IBAN), _iban(key, value))
         .when(whole(ACCESS), F.concat(F.lit("AKIA"), _symbols(key, "access", F.substring(value, 5, 16))))
         .otherwise(_symbols(key, "secret", value))
     )
@@ -247,8 +273,10 @@ def pseudonymise(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """``df`` with personal data in ``text_col`` replaced, and ``n_replaced``, the number of values changed.
 
     E-mail addresses (the name before the @), phone numbers with + and a country code (8 to 15
-    digits), payment card numbers (Luhn), IPv4 addresses, social security numbers, calendar dates, access keys and values given to a
-    password, token or secret. Texts without such a value, null and empty ones stay as they are, with
+    digits), payment card numbers (Luhn), bank accounts (IBAN, check digits by mod 97, spaces after every fourth character or none),
+    IPv4 addresses, social security numbers, calendar dates of the years 1 to 9600, access keys and values given to a
+    password, token or secret (letters, digits, ``_`` and ``-``, in quotes or not). Values have any length. Phone numbers
+    without a country code, IPv6 addresses and values with other characters are not looked for. Texts without such a value, null and empty ones stay as they are, with
     0 replaced; everything but the values stays. Rows are independent, so repeated rows give equal
     results. An input column ``n_replaced`` is replaced.
     """
