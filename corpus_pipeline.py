@@ -13,7 +13,7 @@ from tideline.session import written
 #: Least probability of the likeliest language; texts of mixed languages stay.
 LEAST_SCORE = 0.3
 #: Words that a Python worker of the last stage remembers: workers there still hold what earlier stages needed.
-MOST_WORDS = 200_000
+MOST_WORDS = 40_000
 
 
 def identified(spark, docs, sf_dir):
