@@ -56,3 +56,18 @@ def test_dense_grid_is_days_times_categories(spark):
     assert dense.count() == 9
     assert dense.where("v is not null").count() == 2
     assert calendar.densify(facts, "k", after="2024-01-01").count() == 6
+
+
+def test_missing_runs(spark):
+    grid = calendar.slice_grid(spark, "2024-01-01", "2024-01-10", categories={"kind": ["a", "b", "c"]})
+    landed = spark.createDataFrame(
+        [("a", day("2024-01-03")), ("a", day("2024-01-03")), ("a", day("2024-01-10")), ("a", day("2023-12-31")), ("x", day("2024-01-01")),
+         *[("b", day(f"2024-01-{d:02d}")) for d in range(1, 11)]], "kind string, slice_start date")
+    got = rows(calendar.missing_runs(grid, landed, ["kind"]), "kind", "first_missing")
+    assert got == [
+        ("a", day("2024-01-01"), day("2024-01-02"), 2), ("a", day("2024-01-04"), day("2024-01-09"), 6), ("c", day("2024-01-01"), day("2024-01-10"), 10)
+    ]
+    weekly = calendar.slice_grid(spark, "2024-01-01", "2024-02-01", step_days=7, window_days=7)
+    seen = spark.createDataFrame([(day("2024-01-15"),)], "slice_start date")
+    got = rows(calendar.missing_runs(weekly, seen, step_days=7), "first_missing")
+    assert got == [(day("2024-01-01"), day("2024-01-08"), 2), (day("2024-01-22"), day("2024-01-29"), 2)]

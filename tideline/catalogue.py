@@ -116,6 +116,15 @@ def slice_backfill(spark, sf):
     return counted.withColumn("n_landed", F.coalesce("n_landed", F.lit(0)))
 
 
+@query
+def slice_gaps(spark, sf):
+    """Runs of days for which a user has no landed event, up to the day the report is made for."""
+    events = table(spark, sf, "events")
+    grid = calendar.category_slices(events, "user_id", "2024-01-01", D.day("2024-02-05"))
+    landed_days = events.select("user_id", F.to_date("ts").alias("slice_start"))
+    return calendar.missing_runs(grid, landed_days, ["user_id"])
+
+
 # --- typing and mapping
 
 

@@ -65,6 +65,22 @@ def category_slices(
     return grid.withColumn("slice_end", F.date_add("slice_start", window_days - 1))
 
 
+def missing_runs(grid: DataFrame, landed: DataFrame, by: Sequence[str] = (), step_days: int = 1) -> DataFrame:
+    """Runs of successive slices of the grid that nothing has landed for, per category: first and last start, and length.
+
+    ``landed`` has ``slice_start`` and the categories, any number of rows a slice. Within a category a missing
+    slice's start less its number in order is the same all along a run. Windows only see slices of the
+    grid, which the calendar bounds for each category.
+    """
+    on = [*by, "slice_start"]
+    missing = grid.join(landed.select(*on).distinct(), on, "left_anti")
+    number = F.row_number().over(Window.partitionBy(*by).orderBy("slice_start"))
+    runs = missing.withColumn("_run", F.date_sub("slice_start", (number * step_days).cast("int")))
+    return runs.groupBy(*by, "_run").agg(
+        F.min("slice_start").alias("first_missing"), F.max("slice_start").alias("last_missing"), F.count("*").alias("n_missing")
+    ).drop("_run")
+
+
 def request_text(date: Column, pattern: str = "MM/dd/yyyy") -> Column:
     """Date as the text a request parameter carries."""
     return F.date_format(date, pattern)

@@ -63,6 +63,17 @@ ORACLES["slice_cap"] = """
     WHERE rn <= 5
 """
 
+ORACLES["slice_gaps"] = """
+    WITH days AS (SELECT CAST(unnest(range(DATE '2024-01-01', DATE '2024-02-06', INTERVAL 1 DAY)) AS DATE) AS d),
+    missing AS (
+        SELECT u.user_id, d, d - CAST(row_number() OVER (PARTITION BY u.user_id ORDER BY d) AS INT) AS run
+        FROM (SELECT DISTINCT user_id FROM events) u CROSS JOIN days
+        WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.user_id = u.user_id AND CAST(e.ts AS DATE) = d)
+    )
+    SELECT user_id, CAST(min(d) AS VARCHAR) AS first_missing, CAST(max(d) AS VARCHAR) AS last_missing, count(*) AS n_missing
+    FROM missing GROUP BY user_id, run
+"""
+
 ORACLES["slice_backfill"] = """
     WITH days AS (
         SELECT CAST(d AS DATE) AS d
