@@ -257,3 +257,23 @@ def test_repeating_an_old_batch_changes_nothing(spark, tmp_path):
     assert rows(keyed.read_keyed(spark, path).select("id", "v")) == [("a", 2)]
     with pytest.raises(ValueError, match="other rows"):
         keyed.upsert(spark, path, batch(spark, ("new", 9, "2024-02-01")), ["id"], ["loaded_at"], batch="2")
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path, capsys):
+    left = spark.range(1000).selectExpr("id % 100 as k", "id as v")
+    right = spark.range(100).selectExpr("id as k", "id * 2 as w")
+    a = plain.save_bucketed(left, "bucketed_left", ["k"], 4, str(tmp_path / "left"))
+    b = plain.save_bucketed(right, "bucketed_right", ["k"], 4, str(tmp_path / "right"))
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        joined = landed.read_table(spark, "bucketed_left").join(b, "k").groupBy("k").agg(F.sum("v").alias("v"), F.max("w").alias("w"))
+        joined.explain()
+        plan = capsys.readouterr().out
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert rows(joined, "k")[7] == (7, sum(range(7, 1000, 100)), 14) and a.count() == 1000
+    finally:
+        spark.conf.set(threshold, before)
+        for name in ("bucketed_left", "bucketed_right"):
+            spark.sql(f"DROP TABLE {name}")

@@ -566,6 +566,22 @@ def full_refresh(spark, sf):
     return plain.full_refresh(table(spark, sf, "supplier"), path)
 
 
+@query
+def catalog_tables(spark, sf):
+    """Lines and orders as catalog tables bucketed by order, read by name and joined on their buckets."""
+    names = {}
+    for name, key in (("lineitem", "l_orderkey"), ("orders", "o_orderkey")):
+        path = fresh_dir(spark, name)
+        names[name] = f"tideline_{path.rsplit('/', 1)[1].replace('-', '_')}"
+        plain.save_bucketed(table(spark, sf, name), names[name], [key], FEW_BUCKETS, path)
+    lines, orders = (landed.read_table(spark, names[name]) for name in ("lineitem", "orders"))
+    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    per_order = joined.groupBy("o_orderkey", "o_orderpriority").agg(F.count("*").alias("n_lines"), money_sum("l_extendedprice").alias("total"))
+    return per_order.groupBy("o_orderpriority").agg(
+        F.count("*").alias("n_orders"), F.sum("n_lines").alias("n_lines"), F.max("total").alias("largest")
+    )
+
+
 # --- projection, JSON, dimension lookup
 
 

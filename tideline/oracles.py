@@ -396,6 +396,14 @@ ORACLES["stage_by_parameter"] = f"""
 
 ORACLES["full_refresh"] = "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier"
 
+ORACLES["catalog_tables"] = f"""
+    SELECT o_orderpriority, COUNT(*) AS n_orders, CAST(SUM(n) AS BIGINT) AS n_lines, MAX(total) AS largest
+    FROM (
+        SELECT o_orderkey, o_orderpriority, COUNT(*) AS n, CAST(SUM({cents('l_extendedprice')}) AS DOUBLE) AS total
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL
+    ) GROUP BY 1
+"""
+
 # --- projection, JSON, dimension lookup
 
 ORACLES["reproject_points"] = """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,18 @@ def full_refresh(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def save_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str | None = None) -> DataFrame:
+    """Replace a catalog table by ``df``, bucketed and sorted by ``keys``; returns the table as stored.
+
+    Tables bucketed by equal keys into equally many buckets are joined, grouped and deduplicated by those keys
+    without a shuffle. Rows are dealt by the keys before they are written, so that a bucket is one file. With ``path`` the
+    table is external: its files lie there.
+    """
+    dealt = df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).format("parquet")
+    (dealt.option("path", path) if path else dealt).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def stored_text(number: Column) -> Column:
     """Number as landed string tables hold it: missing is the text ``nan``."""
     return F.coalesce(number.cast("string"), F.lit("nan"))
