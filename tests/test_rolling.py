@@ -1,7 +1,9 @@
 import datetime as dt
 import random
 
+import pytest
 from conftest import day, rows
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tideline.operators import rolling
@@ -44,3 +46,26 @@ def test_category_mean_counts_missing_days_as_zero(spark):
         (day("2020-01-04"), "c", 0.0),
         (day("2020-01-05"), "c", 0.0),
     ]
+
+
+@pytest.mark.parametrize(("n", "frame", "block"), [(0, 5, 10), (1, 5, 10), (1000, 1, 7), (1000, 7, 7), (1000, 30, 10), (1000, 366, 400)])
+@pytest.mark.parametrize("by", [[], ["k"]])
+def test_blocks_equal_the_plain_window(spark, n, frame, block, by):
+    # Two thirds of the rows hold one category, times repeat and some are null.
+    source = spark.range(n).selectExpr(
+        "id", "if(id % 7 = 0, null, (id * 37) % 50) t", "if(id % 3 = 0, id % 5, -1) k", "if(id % 4 = 0, null, id) v"
+    )
+    measures = {"total": F.sum("v"), "least": F.min("v"), "n": F.count("*")}
+    order = [F.asc_nulls_last("t"), F.asc_nulls_last("id")]
+    plain = Window.partitionBy(*by).orderBy(*order).rowsBetween(-(frame - 1), 0)
+    want = source.select("*", *[value.over(plain).alias(name) for name, value in measures.items()])
+    got = rolling.trailing_in_blocks(source, ["t", "id"], measures, frame, by, block)
+    assert rows(got, "id") == rows(want, "id")
+
+
+def test_no_block_holds_more_than_its_rows_and_the_lead_in(spark):
+    source = spark.range(5000).selectExpr("id", "1 as k")
+    seen = rolling.trailing_in_blocks(source, ["id"], {"first_seen": F.min("id"), "n": F.count("*")}, 4000, ["k"], 100)
+    assert seen.agg(F.max("n")).first()[0] == 4000
+    numbered = rolling.numbered_in_order(source, ["id"])
+    assert numbered.where("id <> _position").isEmpty() and numbered.count() == 5000

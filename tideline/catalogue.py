@@ -5,6 +5,7 @@ Dates and timestamps leave as ISO text, so that every engine hands over the same
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +21,7 @@ from tideline.plans import ingest, permits
 from tideline.plans import permit_tables as stored
 from tideline.session import fresh_dir, written
 from tideline.sinks import keyed, plain
-from tideline.sources import html, landed
+from tideline.sources import html, landed, slices
 from tideline.sources.mapping import ColumnSpec, map_columns
 from tideline.streaming import ingest as streams
 
@@ -414,6 +415,17 @@ def rolling_timeseries(spark, sf):
     )
 
 
+@query
+def rolling_events(spark, sf):
+    """Trailing frames over single events, in blocks: of all events, and of each event type."""
+    events = table(spark, sf, "events").select("event_id", "ts", "event_type", "user_id")
+    measures = {"avg_user": F.avg("user_id"), "max_user": F.max("user_id"), "n_events": F.count("*")}
+    order = ["ts", "event_id"]
+    overall = rolling.trailing_in_blocks(events, order, measures, rows=366)
+    of_type = {f"{name}_of_type": value for name, value in measures.items()}
+    return rolling.trailing_in_blocks(overall, order, of_type, rows=50, by=["event_type"])
+
+
 # --- reports
 
 
@@ -614,14 +626,35 @@ def event_payloads(spark, sf) -> DataFrame:
     return grouped.select("event_type", "day", F.to_json(F.struct(daily.alias("daily"))).alias("payload"))
 
 
-@query
-def json_arrays_to_rows(spark, sf):
+def payload_rows(payloads: DataFrame, keep: list[str]) -> DataFrame:
     schema = "daily struct<event_id: array<bigint>, user_id: array<bigint>, value: array<double>>"
     names = ["event_id", "user_id", "value"]
-    parsed = event_payloads(spark, sf).withColumn("p", landed.parsed_json(F.col("payload"), schema))
-    parsed = parsed.select("event_type", "day", *[F.col(f"p.daily.{name}").alias(name) for name in names])
+    parsed = payloads.withColumn("p", landed.parsed_json(F.col("payload"), schema))
+    parsed = parsed.select(*keep, *[F.col(f"p.daily.{name}").alias(name) for name in names])
     lined_up = parsed.where(landed.aligned_arrays(names, "event_id"))
-    return landed.arrays_to_rows(lined_up, {name: name for name in names}, keep=["event_type", "day"])
+    return landed.arrays_to_rows(lined_up, {name: name for name in names}, keep=keep)
+
+
+@query
+def json_arrays_to_rows(spark, sf):
+    return payload_rows(event_payloads(spark, sf), ["event_type", "day"])
+
+
+@query
+def slice_source(spark, sf):
+    """Payloads landed in one folder per event type and day; a restricted run of three slices reads only theirs."""
+    root, keys = fresh_dir(spark, "payloads"), ["event_type", "slice_start"]
+    payloads = event_payloads(spark, sf).withColumnRenamed("day", "slice_start")
+    payloads.repartition(*keys).write.partitionBy(*keys).parquet(root)
+    spark.dataSource.register(slices.slice_source("landed_payloads", "payload string", slices.landed_folder(root, keys)))
+    run = spark.read.format("landed_payloads").options(
+        start="2024-01-01",
+        end="2024-01-31",
+        categories=json.dumps({"event_type": ["purchase"]}),
+        only_from="2024-01-10",
+        only_to="2024-01-12",
+    )
+    return payload_rows(run.load(), ["event_type", "slice_start"])
 
 
 @query

@@ -283,6 +283,15 @@ ORACLES["rolling_by_category"] = f"""{DENSE},
     SELECT CAST(date AS VARCHAR) AS date, p_type, value FROM w WHERE date > DATE '1997-01-01' ORDER BY p_type, w.date
 """
 
+ORACLES["rolling_events"] = """
+    SELECT event_id, CAST(ts AS VARCHAR) AS ts, event_type, user_id,
+           avg(user_id) OVER o AS avg_user, max(user_id) OVER o AS max_user, count(*) OVER o AS n_events,
+           avg(user_id) OVER t AS avg_user_of_type, max(user_id) OVER t AS max_user_of_type, count(*) OVER t AS n_events_of_type
+    FROM events
+    WINDOW o AS (ORDER BY ts, event_id ROWS BETWEEN 365 PRECEDING AND CURRENT ROW),
+           t AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)
+"""
+
 ORACLES["rolling_timeseries"] = f"""
     WITH d AS (
         SELECT s.date, {exact_sum('l_quantity')} AS qty, COUNT(l_orderkey) AS n_lines
@@ -420,6 +429,11 @@ ORACLES["json_arrays_to_rows"] = f"""
     SELECT event_type, {day_text('ts')} AS day, event_id, user_id, value FROM events
 """
 
+ORACLES["slice_source"] = f"""
+    SELECT event_type, {day_text('ts')} AS slice_start, event_id, user_id, value
+    FROM events WHERE event_type = 'purchase' AND CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'
+"""
+
 ORACLES["dim_lookup"] = """
     SELECT s_suppkey, n_name || '_' || s_name AS id, s_acctbal
     FROM supplier JOIN nation ON n_nationkey = s_nationkey
