@@ -22,6 +22,7 @@ from tideline.plans import permit_tables as stored
 from tideline.session import fresh_dir, written
 from tideline.sinks import keyed, plain
 from tideline.sources import html, landed, slices
+from tideline.sources.csv_blocks import read_csv_blocks
 from tideline.sources.mapping import ColumnSpec, map_columns
 from tideline.streaming import ingest as streams
 
@@ -134,6 +135,18 @@ def parquet_glob(spark, sf):
     return landed.read_table(spark, f"{sf}/par*.parquet").groupBy("p_type").agg(F.count("*").alias("n"))
 
 
+@query
+def csv_line_breaks(spark, sf):
+    """Documents as CSV whose texts are quoted and hold line breaks, read by blocks of the files."""
+    folder = fresh_dir(spark, "csv")
+    documents = table(spark, sf, "documents").select(
+        F.col("doc_id").cast("string").alias("doc_id"), "source", F.concat("source", F.lit('\n\n"'), "text", F.lit('",\n')).alias("body")
+    )
+    writer = documents.write.partitionBy("source").option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
+    return read_csv_blocks(spark, folder, ["body", "doc_id"], ["source"])
+
+
 @query
 def sql_text(spark, sf):
     """SQL text over named tables."""

@@ -143,6 +143,11 @@ ORACLES["rule_category"] = """
 
 ORACLES["parquet_glob"] = "SELECT p_type, COUNT(*) AS n FROM part GROUP BY p_type"
 
+ORACLES["csv_line_breaks"] = """
+    SELECT CAST(doc_id AS VARCHAR) AS doc_id, source, source || chr(10) || chr(10) || '"' || text || '",' || chr(10) AS body
+    FROM documents
+"""
+
 ORACLES["sql_text"] = """
     SELECT r_name, COUNT(*) AS n_customers
     FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey

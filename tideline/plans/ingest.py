@@ -12,6 +12,7 @@ from tideline.operators import calendar, report
 from tideline.operators.dedup import latest_per_key
 from tideline.sinks import keyed, plain
 from tideline.sources import html, landed
+from tideline.sources.csv_blocks import read_csv_blocks
 from tideline.sources.mapping import ColumnSpec, map_columns
 
 
@@ -97,10 +98,14 @@ def permit_slices(spark: SparkSession, as_of: AsOf = None, only_from: AsOf = Non
     )
 
 
-def permit_rows(spark: SparkSession, landing: str) -> DataFrame:
-    """CSV files below ``date_type=<stage>/slice_date=<day>/`` folders to mapped rows."""
+def permit_rows(spark: SparkSession, landing: str, whole_files: bool = False) -> DataFrame:
+    """CSV files below ``date_type=<stage>/slice_date=<day>/`` folders to mapped rows.
+
+    ``whole_files`` reads each file in one task, which also takes quotes that are not as RFC 4180 has them.
+    """
     paths = [*_source_paths(PERMIT_COLUMNS), "X_WEB_MERCATOR", "Y_WEB_MERCATOR"]
-    raw = landed.read_csv_text(spark, landing, paths, slice_columns=["date_type", "slice_date"])
+    read = landed.read_csv_text if whole_files else read_csv_blocks
+    raw = read(spark, landing, paths, slice_columns=["date_type", "slice_date"])
     return map_columns(raw, PERMIT_COLUMNS, keep=["date_type", "slice_date"])
 
 
