@@ -9,7 +9,7 @@ of longer ones are shuffled.
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -143,7 +143,17 @@ def _records(lines: DataFrame, blocks: DataFrame, slice_columns: Sequence[str])
 def _is_regular(record: Column) -> Column:
     """Every quote of the record encloses a whole value or is doubled within one."""
     undoubled = F.regexp_replace(F.replace(record, F.lit('""'), F.lit("")), r'(?<=^|,)"[^"]*"(?=,|\r?\z)', "")
-    return ~undoubled.contains('"')
+    return ~record.contains('"') | ~undoubled.contains('"')
+
+
+def _picker(columns: Sequence[str], places: Sequence[int | None]) -> Callable[[Column], Column]:
+    """Function from parsed values to the wanted columns, each by its place in the header."""
+
+    def pick(values: Column) -> Column:
+        found = [F.lit(None).cast("string") if place is None else values[f"_c{place}"] for place in places]
+        return F.struct(*[value.alias(name) for value, name in zip(found, columns, strict=True)])
+
+    return pick
 
 
 def read_csv_blocks(spark: SparkSession, path: str, columns: Sequence[str], slice_columns: Sequence[str] = ()) -> DataFrame:
@@ -164,15 +174,14 @@ def read_csv_blocks(spark: SparkSession, path: str, columns: Sequence[str], slic
     irregular = F.raise_error(F.concat(F.lit("a quote within a value that is not quoted in "), F.col("_file")))
     records = _records(lines, blocks, slice_columns).where(F.trim(F.regexp_replace("record", r"\r\z", "")) != "")
     checked = F.when(_is_regular(F.col("record")), F.regexp_replace("record", r"\r\z", "")).otherwise(irregular)
-    wanted = T.StructType([T.StructField(name, T.StringType()) for name in columns])
+    wanted = T.ArrayType(T.StructType([T.StructField(name, T.StringType()) for name in columns]))
     parsed = F.lit(None).cast(wanted)
     for header in headers:
         names = next(csv.reader([header.removeprefix(_MARK).rstrip("\r")]), [])
         fields = ", ".join(f"_c{i} string" for i in range(len(names)))
-        values = F.from_csv(F.col("record"), fields, {"escape": '"'})
-        picked = [
-            (values[f"_c{names.index(name)}"] if name in names else F.lit(None).cast("string")).alias(name) for name in columns
-        ]
-        parsed = F.when(F.col("_header") == header, F.struct(*picked)).otherwise(parsed)
-    typed = records.withColumn("record", checked).withColumn("_values", parsed)
-    return typed.select(*[F.col("_values")[name].alias(name) for name in columns], *slice_columns)
+        places = [names.index(name) if name in names else None for name in columns]
+        # Arrays, so that a record is parsed once and not for each column.
+        values = F.transform(F.array(F.from_csv(F.col("record"), fields, {"escape": '"'})), _picker(columns, places))
+        parsed = F.when(F.col("_header") == header, values).otherwise(parsed)
+    typed = records.withColumn("record", checked).select(*slice_columns, F.inline(parsed))
+    return typed.select(*columns, *slice_columns)
