@@ -99,3 +99,21 @@ def test_edges(spark):
     assert got == [(1, "a", ""), (2, "b", ""), *[(3, None, " ".join([LONG] * 3000))] * 2, (None, "c", "")]
     assert extract(df.limit(0)).collect() == []
     assert queries.QUERIES["op7_mincut_html"](spark, SF_DIR).columns == ["page_id", "url", "text", "n_chars"]
+
+
+@pytest.mark.parametrize(
+    ("inside", "text"),
+    [
+        ("Energy is <math><mi>E</mi><mo>=</mo><mrow><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></mrow></math> always.", "Energy is E=mc2 always."),
+        ("See <video src=x>the film</video>, <object>the chart</object> and <canvas>the map</canvas> here.", "See the film, the chart and the map here."),
+        ("Open <span hidden>the rest</span> now.", "Open the rest now."),
+    ],
+)
+def test_embedded_and_folded_text_of_an_article_stays(inside, text):
+    for page in (f"<article><p>{LONG}</p><p>{inside}</p></article>", f"<main><p>{LONG}</p><p hidden>{inside}</p></main>"):
+        assert main_text(page) == f"{LONG} {text}"
+
+
+def test_hidden_parts_beside_an_article_go():
+    page = f"<div hidden><p>{LONG}</p></div><article><p>{LONG}</p><script>x</script><form><textarea>mine</textarea></form></article>"
+    assert main_text(page) == LONG

@@ -42,10 +42,11 @@ WEIGHTS = {
 # Elements as HTML defines them.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup"
-    " time tt u var wbr br input picture source track param col embed area".split()
+    " time tt u var wbr br input picture source track param col embed area object canvas audio video math mfrac mi mn mo mover mrow"
+    " mspace msqrt mstyle msub msubsup msup mtext munder semantics".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSHOWN = frozenset("head title noscript template svg iframe object textarea select datalist canvas audio video math".split())
+UNSHOWN = frozenset("head title noscript template svg iframe textarea select datalist".split())
 CLOSES_PARAGRAPH = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header"
     " hgroup hr main menu nav ol p pre section table ul".split()
@@ -112,7 +113,8 @@ def _opened(name: str, attrs: str, parent: Element) -> Element:
         parent.named_content or bool(named and CONTENT_NAMES.search(named)),
         (parent.named_boilerplate and not own) or bool(names and BOILERPLATE_NAMES.search(names)),
         (parent.listing and not own) or bool(names and LISTING_NAMES.search(names)),
-        parent.hidden or bool(attrs and _HIDDEN.search(attrs)),
+        # What an article hides at first is still its text.
+        parent.hidden or bool(attrs and not parent.article and _HIDDEN.search(attrs)),
         parent.unshown or name in UNSHOWN,
     )
 
@@ -151,7 +153,7 @@ def blocks(page: str) -> list[Block]:
                 # An inline element that is not shown hides its text; others do not matter.
                 if token["end"]:
                     hidden_inline = hidden_inline[:-1]
-                elif hidden_inline or _HIDDEN.search(token["attrs"]):
+                elif hidden_inline or (not here.article and _HIDDEN.search(token["attrs"])):
                     hidden_inline.append(name)
             continue
         flush()
