@@ -40,3 +40,21 @@ def test_probability_is_a_mean_over_every_window(spark):
     mean = sum(p * len(x) for p, x in zip(by_window, parts)) / len(data)
     got = language_id.identify(docs.filter(F.col("doc_id") == row.doc_id), model).first()
     assert abs(got.score - mean.max()) < 1e-5 and got.lang_pred == model.languages[int(mean.argmax())]
+
+
+def test_sample_of_a_hot_language_is_that_of_a_single_rank(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").withColumn("lang", F.lit("de"))
+    docs = docs.unionByName(docs.limit(40))
+    monkeypatch.setattr(language_id, "SAMPLE_DOCUMENTS", 50)
+    monkeypatch.setattr(language_id, "train", lambda texts, languages: sorted(zip(texts, languages)))
+    dealt = language_id.learn(docs)
+    monkeypatch.setattr(language_id, "SAMPLE_PARTS", (1,))
+    assert dealt == language_id.learn(docs) and len(dealt) > 50
+
+
+def test_filters_on_both_answers_ask_once(spark):
+    docs = spark.createDataFrame([(1, "ein Satz"), (2, None)], "doc_id long, text string")
+    named = language_id.identify(docs, None).filter("lang_pred <> 'xx' and score >= 0")
+    plan = named._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert sorted(named.select("doc_id", "lang_pred", "score").collect()) == [(1, "und", 0.0), (2, "und", 0.0)]

@@ -14,7 +14,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tideline.llm import tokens, words
 
@@ -25,6 +24,8 @@ EMBEDDING = 8
 #: Bound of the training sample: documents per language, and windows of each.
 SAMPLE_DOCUMENTS = 800
 SAMPLE_WINDOWS = 6
+#: A language's rows compete within parts first, so that the last rank sees at most 8 times the sample, whatever the table.
+SAMPLE_PARTS = (256, 8, 1)
 UNKNOWN = "und"
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -144,8 +145,11 @@ def learn(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """
     rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang"))
     rows = rows.filter(F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull() & F.col("id").isNotNull() & ~held_out(F.col("id")))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = rows.select("id", "lang").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= SAMPLE_DOCUMENTS)
+    chosen = rows.select("id", "lang")
+    for parts in SAMPLE_PARTS:
+        part = F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(parts))
+        order = Window.partitionBy("lang", part).orderBy(F.xxhash64("id"), "id")
+        chosen = chosen.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= SAMPLE_DOCUMENTS).drop("rank")
     # At most SAMPLE_DOCUMENTS rows a language.
     sample = rows.join(F.broadcast(chosen.select("id", "lang")), ["id", "lang"])
     spread = F.transform(
@@ -157,7 +161,7 @@ def learn(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return train([w.encode() for _, _, w in found], [lang for lang, _, _ in found])
 
 
-def _predict(model: Model, text_at: int):
+def _predict(model: Model | None):
     def of_slice(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Mean probabilities of each row; every byte is in one window."""
         sizes = np.diff(offsets)
@@ -173,22 +177,21 @@ def _predict(model: Model, text_at: int):
         total = np.add.reduceat(got * weight[:, None], first[:-1], axis=0)
         return total / np.add.reduceat(weight, first[:-1])[:, None]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens.forget()
-        for batch in batches:
-            letters = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool)
-            data, offsets = words.utf8(batch.column(text_at))
-            best, score = np.zeros(len(letters), np.int64), np.zeros(len(letters))
+        for texts in batches:
+            known = texts.is_valid().to_numpy(zero_copy_only=False) & bool(model)
+            data, offsets = words.utf8(texts)
+            best, score = np.zeros(len(known), np.int64), np.zeros(len(known))
             for lo, hi in words.slices(offsets) if model else ():
                 mean = of_slice(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
                 best[lo:hi], score[lo:hi] = mean.argmax(axis=1), mean.max(axis=1)
-            known = letters & bool(model)
             names = np.array([*(model.languages if model else []), UNKNOWN], object)
             named = names[np.where(known, best, len(names) - 1)]
-            columns = batch.columns[:-1] + [pa.array(named, pa.string()), pa.array(np.where(known, np.clip(score, 0, 1), 0.0))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "lang_pred", "score"])
+            columns = [pa.array(named, pa.string()), pa.array(np.where(known, np.clip(score, 0, 1), 0.0))]
+            yield pa.StructArray.from_arrays(columns, names=["lang_pred", "score"])
 
-    return run
+    return F.arrow_udf(run, "lang_pred string, score double").asNondeterministic()
 
 
 def identify(df: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
@@ -200,7 +203,8 @@ def identify(df: DataFrame, model: Model | None, text_col: str = "text") -> Data
     """
     words.small_batches(df.sparkSession)
     names = [c for c in df.columns if c not in {"lang_pred", "score"}]
-    letters = F.coalesce(F.col(f"`{text_col}`").rlike(r"\p{L}"), F.lit(False))
-    rows = df.select(*[f"`{c}`" for c in names], letters.alias("_li_letters"))
-    schema = T.StructType([df.schema[c] for c in names]).add("lang_pred", "string").add("score", "double")
-    return rows.mapInArrow(_predict(model, names.index(text_col)), schema)
+    text = F.col(f"`{text_col}`")
+    # Only texts go to Python and only answers come back; nondeterministic, so that filters on both do not ask twice.
+    answer = _predict(model)(F.when(text.rlike(r"\p{L}"), text))
+    rows = df.select(*[f"`{c}`" for c in names], answer.alias("_li_answer"))
+    return rows.select(*[f"`{c}`" for c in names], "_li_answer.lang_pred", "_li_answer.score")
