@@ -1067,31 +1067,57 @@ def listing_medians(spark, sf):
     return ingest.listing_medians(listings).withColumn("median_rent", F.round("median_rent", 4))
 
 
+def daily_payloads(rows: DataFrame) -> DataFrame:
+    """One weather payload per user and month of ``user_id, day, high, low, n`` rows."""
+    month = F.trunc("day", "month")
+    values = F.array_sort(F.collect_list(F.struct("day", "high", "low", "n")))
+    packed = rows.groupBy("user_id", month.alias("month")).agg(values.alias("v"))
+    daily = F.struct(
+        F.transform("v.day", lambda d: d.cast("string")).alias("time"),
+        F.col("v.high").alias("temperature_2m_max"),
+        F.col("v.low").alias("temperature_2m_min"),
+        F.col("v.n").alias("precipitation_sum"),
+        F.transform("v.n", lambda n: n * 2).alias("windspeed_10m_max"),
+    )
+    return packed.select(
+        F.concat(F.lit("city"), F.col("user_id").cast("string")).alias("city"),
+        F.to_json(F.struct(daily.alias("daily"))).alias("payload"),
+    )
+
+
+def event_days(spark, sf) -> DataFrame:
+    return table(spark, sf, "events").groupBy(F.col("user_id"), F.to_date("ts").alias("day")).agg(
+        F.max("value").alias("high"), F.min("value").alias("low"), F.count("*").cast("double").alias("n")
+    )
+
+
 @query
 def weather_ingest(spark, sf):
     """Daily payloads per user rendered from events, loaded twice with changed values, upserted by id."""
     path = fresh_dir(spark, "weather")
-    events = table(spark, sf, "events")
-    days = events.groupBy(F.col("user_id"), F.to_date("ts").alias("day")).agg(
-        F.max("value").alias("high"), F.min("value").alias("low"), F.count("*").cast("double").alias("n")
+    days = event_days(spark, sf)
+    ingest.ingest_weather(ingest.weather_rows(daily_payloads(days)), path, "2024-02-01", FEW_BUCKETS, "0")
+    late = days.where(F.col("day") >= F.lit("2024-01-20").cast("date")).withColumn("n", F.col("n") + 100)
+    return ingest.ingest_weather(ingest.weather_rows(daily_payloads(late)), path, "2024-02-02", FEW_BUCKETS, "1")
+
+
+@query
+def ingest_report(spark, sf):
+    """What one ingest of payloads counts while it writes: some are cut off, some lack their city, all come twice."""
+    payloads = daily_payloads(event_days(spark, sf))
+    user = F.substring("city", 5, 20).cast("bigint")
+    cut = F.when(user % 7 == 3, F.substring("payload", 1, 40)).otherwise(F.col("payload"))
+    landed_as = payloads.select(F.when(user % 11 != 5, F.col("city")).alias("city"), cut.alias("payload"))
+    counts: dict = {}
+    ingest.ingest_weather_payloads(
+        landed_as.unionByName(landed_as), fresh_dir(spark, "weather-report"), counts, "2024-02-01", FEW_BUCKETS, "0"
     )
+    return spark.createDataFrame(sorted(counts.items()), "measure string, n bigint")
 
-    def payloads(rows: DataFrame) -> DataFrame:
-        month = F.trunc("day", "month")
-        values = F.array_sort(F.collect_list(F.struct("day", "high", "low", "n")))
-        packed = rows.groupBy("user_id", month.alias("month")).agg(values.alias("v"))
-        daily = F.struct(
-            F.transform("v.day", lambda d: d.cast("string")).alias("time"),
-            F.col("v.high").alias("temperature_2m_max"),
-            F.col("v.low").alias("temperature_2m_min"),
-            F.col("v.n").alias("precipitation_sum"),
-            F.transform("v.n", lambda n: n * 2).alias("windspeed_10m_max"),
-        )
-        return packed.select(
-            F.concat(F.lit("city"), F.col("user_id").cast("string")).alias("city"),
-            F.to_json(F.struct(daily.alias("daily"))).alias("payload"),
-        )
 
-    ingest.ingest_weather(ingest.weather_rows(payloads(days)), path, "2024-02-01", FEW_BUCKETS, "0")
-    late = days.where(F.col("day") >= F.lit("2024-01-20").cast("date")).withColumn("n", F.col("n") + 100)
-    return ingest.ingest_weather(ingest.weather_rows(payloads(late)), path, "2024-02-02", FEW_BUCKETS, "1")
+@query
+def permit_key_checks(spark, sf):
+    """Rows, null keys and repeated keys of the permit records as landed and as cleaned."""
+    models = {name: quality.key_report(QUERIES[name](spark, sf), ["ivr_number"]) for name in ("permits_typed", "permits_cleaned")}
+    typed, cleaned = [report.select(F.lit(name).alias("model"), "*") for name, report in models.items()]
+    return typed.unionByName(cleaned)

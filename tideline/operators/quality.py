@@ -1,10 +1,10 @@
-"""Key checks and conformity of a dataset to its declared schema. Empty means passed."""
+"""Key checks, counts made while a dataset is written, and conformity to a declared schema. Empty checks mean passed."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -14,12 +14,45 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return present.groupBy(*keys).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
 
 
-def null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows that lack part of the key."""
+def _lacks(keys: Sequence[str]) -> Column:
     missing = F.lit(False)
     for key in keys:
         missing = missing | F.col(key).isNull()
-    return df.where(missing)
+    return missing
+
+
+def null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows that lack part of the key."""
+    return df.where(_lacks(keys))
+
+
+def key_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row: ``n_rows``, ``n_null_keys`` rows that lack part of the key, ``n_repeated_keys`` held by several rows.
+
+    Copies of a key are counted where they are read first, so a hot key costs one row a task.
+    """
+    lacks = F.max(_lacks(keys))
+    per_key = df.groupBy(*keys).agg(F.count("*").alias("n"), lacks.alias("lacks"))
+    return per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.sum(F.when(F.col("lacks"), F.col("n")).otherwise(0)), F.lit(0)).alias("n_null_keys"),
+        F.count_if(~F.col("lacks") & (F.col("n") > 1)).alias("n_repeated_keys"),
+    )
+
+
+def watched(df: DataFrame, rows: str = "n_rows", **tests: Column) -> tuple[DataFrame, Observation]:
+    """``df``, and what the first job over it counts in passing: all rows as ``rows``, and those that pass each test.
+
+    The counts cost no scan of their own. Behind a job's last shuffle they are exact; before it, a task
+    that runs again because an executor was lost with its output counts again. Reading ``get`` waits for a job.
+    """
+    watch = Observation()
+    return df.observe(watch, F.count(F.lit(1)).alias(rows), *[F.count_if(t).alias(n) for n, t in tests.items()]), watch
+
+
+def watched_keys(df: DataFrame, keys: Sequence[str], rows: str = "n_rows") -> tuple[DataFrame, Observation]:
+    """As :func:`watched`, with ``n_null_keys``, the rows that lack part of the key."""
+    return watched(df, rows, n_null_keys=_lacks(keys))
 
 
 def schema_report(df: DataFrame, declared: dict[str, str]) -> DataFrame:

@@ -830,3 +830,26 @@ ORACLES["weather_ingest"] = f"""
                AS windspeed_max_kmh
     FROM events GROUP BY user_id, CAST(ts AS DATE)
 """
+
+ORACLES["ingest_report"] = """
+    WITH days AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events),
+    payloads AS (SELECT DISTINCT user_id, date_trunc('month', day) AS month FROM days),
+    good AS (SELECT user_id, day, user_id % 11 = 5 AS nameless FROM days WHERE user_id % 7 <> 3)
+    SELECT 'n_payloads' AS measure, 2 * COUNT(*) AS n FROM payloads
+    UNION ALL SELECT 'n_rejected', 2 * COUNT(*) FROM payloads WHERE user_id % 7 = 3
+    UNION ALL SELECT 'n_rows', 2 * COUNT(*) FROM good
+    UNION ALL SELECT 'n_null_keys', 2 * COUNT(*) FROM good WHERE nameless
+    UNION ALL SELECT 'n_stored', COUNT(*) FILTER (WHERE NOT nameless) + CAST(bool_or(nameless) AS INTEGER) FROM good
+"""
+
+
+def _key_report(name: str) -> str:
+    return f"""
+        SELECT '{name}' AS model, COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE ivr_number IS NULL) AS n_null_keys,
+               (SELECT COUNT(*) FROM (SELECT ivr_number FROM ({ORACLES[name]}) WHERE ivr_number IS NOT NULL
+                                      GROUP BY ivr_number HAVING COUNT(*) > 1)) AS n_repeated_keys
+        FROM ({ORACLES[name]})
+    """
+
+
+ORACLES["permit_key_checks"] = f"{_key_report('permits_typed')} UNION ALL {_key_report('permits_cleaned')}"

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tideline.functions import geo
 from tideline.functions import typing as ty
 from tideline.functions.dates import AsOf
-from tideline.operators import calendar, report
+from tideline.operators import calendar, quality
+from tideline.operators.report import median_summary
 from tideline.operators.dedup import latest_per_key
 from tideline.sinks import keyed, plain
 from tideline.sources import html, landed
@@ -110,9 +111,17 @@ def permit_rows(spark: SparkSession, landing: str, whole_files: bool = False) ->
 
 
 def ingest_permits(
-    rows: DataFrame, staging: str, loaded_at: AsOf = None, buckets: int = keyed.BUCKETS, batch: str | None = None
+    rows: DataFrame,
+    staging: str,
+    loaded_at: AsOf = None,
+    buckets: int = keyed.BUCKETS,
+    batch: str | None = None,
+    report: dict | None = None,
 ) -> DataFrame:
-    """Stage rows by event-date type, merge them per permit with the latest non-null dates."""
+    """Stage rows by event-date type, merge them per permit with the latest non-null dates.
+
+    ``report`` is filled as by ``keyed.upsert``; ingest jobs count in the job that writes, without a second scan.
+    """
     stamped = rows.withColumn("loaded_at", F.lit(loaded_at).cast("timestamp_ntz") if loaded_at else F.localtimestamp())
     spark = rows.sparkSession
     keyed.staged_merge(
@@ -126,6 +135,7 @@ def ingest_permits(
         order_by=["loaded_at", "slice_date", "date_type"],
         buckets=buckets,
         batch=batch,
+        report=report,
     )
     return keyed.read_merged(spark, staging).select(*[spec.name for spec in PERMIT_COLUMNS])
 
@@ -144,8 +154,8 @@ def listing_rows(
     return map_columns(html.with_details(cards, details), LISTING_COLUMNS)
 
 
-def ingest_listings(rows: DataFrame, target: str, as_of: AsOf = None) -> None:
-    plain.append_snapshot(rows, target, as_of)
+def ingest_listings(rows: DataFrame, target: str, as_of: AsOf = None, report: dict | None = None) -> None:
+    plain.append_snapshot(rows, target, as_of, keys=["url"], report=report)
 
 
 def listing_medians(listings: DataFrame) -> DataFrame:
@@ -155,7 +165,7 @@ def listing_medians(listings: DataFrame) -> DataFrame:
         "median_rent": ty.try_double(F.col("price").cast("string")),
         "median_sqft": ty.try_double(F.col("sqft").cast("string")),
     }
-    return report.median_summary(
+    return median_summary(
         priced, "region", "listings", medians, [F.desc_nulls_last("median_rent"), F.asc_nulls_last("region")]
     )
 
@@ -194,7 +204,10 @@ def weather_rows(payloads: DataFrame, strict: bool = True) -> DataFrame:
 
     A payload that does not parse or line up fails the job; with ``strict=False`` it is left to ``weather_rejects``.
     """
-    parsed = parsed_weather(payloads)
+    return _weather_days(parsed_weather(payloads), strict)
+
+
+def _weather_days(parsed: DataFrame, strict: bool) -> DataFrame:
     good = landed.aligned_arrays(list(WEATHER_ARRAYS.values()), "time")
     if strict:
         bad = F.concat(F.lit("weather payload that does not parse or line up: "), F.coalesce("city", F.lit("null")))
@@ -217,6 +230,7 @@ def ingest_weather(
     buckets: int = keyed.BUCKETS,
     batch: str | None = None,
     rejects: DataFrame | None = None,
+    report: dict | None = None,
 ) -> DataFrame:
     """Upsert daily rows by id; a reload replaces the days it covers.
 
@@ -226,5 +240,22 @@ def ingest_weather(
         raise ValueError(f"the weather payload of {bad.city!r} does not parse or its arrays do not line up")
     stamped = rows.withColumn("loaded_at", F.lit(loaded_at).cast("timestamp_ntz") if loaded_at else F.localtimestamp())
     spark = rows.sparkSession
-    keyed.upsert(spark, target, stamped, ["id"], ["loaded_at"], buckets=buckets, batch=batch)
+    keyed.upsert(spark, target, stamped, ["id"], ["loaded_at"], buckets=buckets, batch=batch, report=report)
     return keyed.read_keyed(spark, target).drop("loaded_at")
+
+
+def ingest_weather_payloads(
+    payloads: DataFrame, target: str, report: dict, loaded_at: AsOf = None, buckets: int = keyed.BUCKETS, batch: str | None = None
+) -> DataFrame:
+    """Upsert the days of all payloads that parse and line up; ``report`` says how many did not.
+
+    Besides the counts of ``keyed.upsert`` it receives ``n_payloads`` and ``n_rejected``. Nothing is
+    scanned or parsed for them a second time; ``weather_rejects`` lists the payloads themselves.
+    """
+    good = landed.aligned_arrays(list(WEATHER_ARRAYS.values()), "time")
+    parsed, watch = quality.watched(parsed_weather(payloads), "n_payloads", n_rejected=~good)
+    written: dict = {}
+    days = ingest_weather(_weather_days(parsed, strict=False), target, loaded_at, buckets, batch, report=written)
+    if written:
+        report.update(written | watch.get)
+    return days

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tideline.declared import declaration, declare, exists, files, like_declared, schema_of
 from tideline.operators.dedup import first_per_key, latest_non_null, latest_per_key
+from tideline.operators.quality import watched, watched_keys
 
 BUCKET = "key_bucket"
 
@@ -134,6 +135,7 @@ def upsert(
     partitions: Sequence[str] = (),
     batch: str | None = None,
     slices: bool = False,
+    report: dict | None = None,
     **declared,
 ) -> None:
     """Append ``incoming`` to the keyed table at ``path``; the latest row of a key is read, however late it comes.
@@ -144,6 +146,8 @@ def upsert(
     ``bucket_by``, which says how compacted rows are laid out, and ``partitions`` must be part of the key.
     With ``slices`` a key stands for all rows that a batch has for it, which replace those of earlier batches
     together; ``order_by`` should then be equal in all rows of a slice, or empty.
+    ``report`` receives ``n_rows`` and ``n_null_keys`` of ``incoming`` and ``n_stored``, the rows written, all counted
+    by the job that writes; it stays as it is when the batch was there already.
     """
     if batch is not None and not re.fullmatch(r"[\w.-]+", batch):
         raise ValueError(f"{batch!r} cannot name a batch")
@@ -152,6 +156,7 @@ def upsert(
     table = declaration(spark, path)
     rows = like_declared(incoming, table) if table else incoming
     table = declare(spark, path, table and schema_of(table) or incoming.schema, **layout, **declared)
+    rows, came = watched_keys(rows, keys) if report is not None else (rows, None)
     newest = rows if slices else latest_per_key(rows, keys, order_by)
     finished = _written(spark, path)
     if batch is not None:
@@ -163,7 +168,10 @@ def upsert(
         if has_batch(spark, path, batch):
             return
     number = 1 + max((int(name.split("-", 1)[0]) for name in finished), default=0)
+    newest, stored = watched(newest, "n_stored") if report is not None else (newest, None)
     _write(newest, f"{path}/batch={number:08d}-{batch or uuid.uuid4().hex}", table["partitions"])
+    if report is not None:
+        report.update(came.get | stored.get)
 
 
 def _record(spark: SparkSession, place: str, names: Sequence[str]) -> None:
@@ -205,6 +213,7 @@ def staged_merge(
     order_by: Sequence[str],
     buckets: int = BUCKETS,
     batch: str | None = None,
+    report: dict | None = None,
 ) -> None:
     """Stage landed slices by parameter; ``read_merged`` gives one row per key out of all stages.
 
@@ -222,6 +231,7 @@ def staged_merge(
         bucket_by=keys,
         partitions=[stage],
         batch=batch,
+        report=report,
         merge={"keys": list(keys), "columns": list(merge_columns)},
     )
 

@@ -9,13 +9,22 @@ from pyspark.sql import functions as F
 
 from tideline.declared import declare
 from tideline.functions.dates import AsOf, day
+from tideline.operators.quality import watched_keys
 
 
-def append_snapshot(df: DataFrame, path: str, as_of: AsOf = None, column: str = "snapshot_date") -> None:
-    """Add the rows as the snapshot of one day; earlier snapshots are never touched."""
+def append_snapshot(
+    df: DataFrame, path: str, as_of: AsOf = None, column: str = "snapshot_date", keys: Sequence[str] = (), report: dict | None = None
+) -> None:
+    """Add the rows as the snapshot of one day; earlier snapshots are never touched.
+
+    ``report`` receives ``n_rows`` and ``n_null_keys`` (of ``keys``), counted by the job that writes.
+    """
     dated = df.withColumn(column, day(as_of))
     declare(df.sparkSession, path, dated.schema)
+    dated, watch = watched_keys(dated, keys) if report is not None else (dated, None)
     dated.write.mode("append").partitionBy(column).parquet(path)
+    if watch:
+        report.update(watch.get)
 
 
 def stage_by(df: DataFrame, path: str, *parameters: str) -> None:
