@@ -1,3 +1,4 @@
+import datetime as dt
 import hashlib
 
 import pytest
@@ -54,3 +55,24 @@ def test_branches_locate_edits(spark):
     assert [(r.id, r.paragraph) for r in found] == [(1, 150)]
     whole = "\n".join(lines).encode()
     assert whole[found[0].start : found[0].start + found[0].size] == lines[150].encode() + b"\n"
+
+
+def test_ids_of_other_types_and_great_ids(spark, monkeypatch):
+    monkeypatch.setattr(merkle, "RANGE_BYTES", 40)
+    texts = [f"text number {i} " * (i % 4) for i in range(40)]
+    great = [(2**60 + i, t) for i, t in enumerate(texts)] + [(None, "a"), (None, "b")]
+    got = merkle.compare_with_next(spark.createDataFrame(great, "doc_id long, text string"))
+    got = got.selectExpr("doc_id", "n_chars", "sha2(edited, 256)", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(great)
+    for kind, name in (("string", lambda i: f"{i:04}"), ("date", None), ("double", lambda i: i / 7)):
+        ids = [dt.date(2020, 1, 1) + dt.timedelta(i) for i in range(40)] if name is None else [name(i) for i in range(40)]
+        plain = merkle.compare_with_next(spark.createDataFrame(list(zip(range(40), texts)), "doc_id long, text string"))
+        other = merkle.compare_with_next(spark.createDataFrame(list(zip(ids, texts)), f"doc_id {kind}, text string"))
+        want = {(ids[r.doc_id], r.edited, r.near_next) for r in plain.collect()}
+        assert {(r.doc_id, r.edited, r.near_next) for r in other.collect()} == want
+
+
+def test_each_range_has_a_partition(spark, monkeypatch):
+    monkeypatch.setattr(merkle, "RANGE_BYTES", 1000)
+    docs = spark.createDataFrame([(i, "some words " * 20) for i in range(60)], "doc_id long, text string")
+    assert merkle.compare_with_next(docs).rdd.getNumPartitions() >= 13

@@ -17,9 +17,8 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tideline.llm import words
 
@@ -31,6 +30,8 @@ LEAF_BITS = 2
 RANGE_BYTES = 16 << 20
 #: Ranges at most; beyond that they grow. Their bounds and first ids are what every task holds.
 MOST_RANGES = 100_000
+#: Ids a range, on average, in the sample that the bounds are taken from.
+SAMPLED = 50
 
 
 class Paragraph(NamedTuple):
@@ -178,34 +179,45 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=list(out))
 
 
+def _bounds(ids: DataFrame, number: int, ranges: int) -> list:
+    """Ids that cut all into ranges of about as many rows, taken from a sample; they only steer who reads what."""
+    sample = ids.filter("id is not null").sample(min(1.0, SAMPLED * ranges / max(number, 1)), seed=1)
+    dealt = sample.select("id", F.ntile(ranges).over(Window.orderBy("id")).alias("part"))
+    return sorted({r.id for r in dealt.filter(F.col("part") < ranges).groupBy("part").agg(F.max("id").alias("id")).collect()})
+
+
+def _range_of(bounds: list, spark: SparkSession):
+    kept = spark.sparkContext.broadcast(bounds)
+
+    def run(ids: pa.Array) -> pa.Array:
+        cuts = pa.array(kept.value, ids.type).to_numpy(zero_copy_only=False)
+        found = np.zeros(len(ids), np.int64)  # null ids come last, as the least
+        valid = ids.is_valid().to_numpy(zero_copy_only=False)
+        found[valid] = np.searchsorted(cuts, ids.drop_null().to_numpy(zero_copy_only=False), "left")
+        return pa.array(found)
+
+    return F.arrow_udf(run, "bigint")
+
+
 def compare_with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Fingerprints of every text and of its edit with the next document's, by descending numeric id.
+    """Fingerprints of every text and of its edit with the next document's, by descending id.
 
     The edit replaces the last half of the code points by as many, or all, of the first of the next text; the last
     document's next is the first. Null texts count as empty, null ids come last, equal ids go by text; a
     document alone is its own next. The ids are cut into ranges of about ``RANGE_BYTES`` of text at
     quantiles, and into larger ones for more than ``MOST_RANGES``; each range is read in order by one task, and the first row of the range after it is its
-    guest, so no text moves more than once and no range depends on another.
+    guest, so no text moves more than once and no range depends on another. Ids may be of any type that Spark
+    orders and Arrow hands to numpy; rows of one id, or without any, stay in one range, which its task sorts and streams.
     """
     words.small_batches(df.sparkSession)
     rows = df.select(
         F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text")
     )
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranges = min(int(size // RANGE_BYTES) + 1, MOST_RANGES)
-    bounds = []
-    if ranges > 1:
-        shares = [i / ranges for i in range(1, ranges)]
-        bounds = sorted(set(rows.agg(F.percentile_approx("id", shares, max(10_000, 20 * ranges))).first()[0]))
-    kept = rows.sparkSession.sparkContext.broadcast(np.array(bounds))
-
-    @F.pandas_udf(T.LongType())
-    def range_of(ids):
-        import pandas as pd
-
-        return pd.Series(np.where(ids.isna(), 0, np.searchsorted(kept.value, ids.fillna(0), "left")))
-
-    rows = rows.withColumn("range", range_of("id") if bounds else F.lit(0).cast("bigint"))
+    size, number = rows.agg(F.sum(F.octet_length("text")), F.count("id")).first()
+    ranges = min(int((size or 0) // RANGE_BYTES) + 1, MOST_RANGES)
+    bounds = _bounds(rows.select("id"), number, ranges) if ranges > 1 else []
+    range_of = _range_of(bounds, rows.sparkSession)("id") if bounds else F.lit(0).cast("bigint")
+    rows = rows.withColumn("range", range_of)
     firsts = rows.groupBy("range").agg(F.max("id").alias("first"))
     order = Window.orderBy("range")  # a row for each range
     to = F.coalesce(F.lead("range").over(order), F.first("range").over(order))
@@ -213,7 +225,8 @@ def compare_with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # At most MOST_RANGES rows.
     guests = rows.join(F.broadcast(firsts), "range").filter(F.col("id").eqNullSafe(F.col("first")))
     guests = guests.select(F.col("to").alias("range"), F.lit(True).alias("guest"), "id", "text")
-    dealt = rows.select("range", F.lit(False).alias("guest"), "id", "text").unionByName(guests).repartition("range")
+    dealt = rows.select("range", F.lit(False).alias("guest"), "id", "text").unionByName(guests)
+    dealt = dealt.repartition(len(bounds) + 1, "range")
     ordered = dealt.sortWithinPartitions("range", "guest", F.desc_nulls_last("id"), "text")
     kind = rows.schema["id"].dataType.simpleString()
     return ordered.mapInArrow(_compare, f"id {kind}, {_COMPARED}").withColumnRenamed("id", id_col)
