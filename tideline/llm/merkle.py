@@ -226,7 +226,7 @@ def compare_with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     guests = rows.join(F.broadcast(firsts), "range").filter(F.col("id").eqNullSafe(F.col("first")))
     guests = guests.select(F.col("to").alias("range"), F.lit(True).alias("guest"), "id", "text")
     dealt = rows.select("range", F.lit(False).alias("guest"), "id", "text").unionByName(guests)
-    dealt = dealt.repartition(len(bounds) + 1, "range")
+    dealt = dealt.repartitionById(len(bounds) + 1, F.col("range").cast("int"))
     ordered = dealt.sortWithinPartitions("range", "guest", F.desc_nulls_last("id"), "text")
     kind = rows.schema["id"].dataType.simpleString()
     return ordered.mapInArrow(_compare, f"id {kind}, {_COMPARED}").withColumnRenamed("id", id_col)
