@@ -277,3 +277,7 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path, capsys):
         spark.conf.set(threshold, before)
         for name in ("bucketed_left", "bucketed_right"):
             spark.sql(f"DROP TABLE {name}")
+
+
+def test_number_of_buckets_follows_the_rows(spark):
+    assert [plain.buckets_for(spark.range(n), rows=10) for n in (0, 1, 10, 11, 20, 21, 79)] == [1, 1, 1, 2, 2, 4, 8]

@@ -594,11 +594,12 @@ def full_refresh(spark, sf):
 @query
 def catalog_tables(spark, sf):
     """Lines and orders as catalog tables bucketed by order, read by name and joined on their buckets."""
-    names = {}
-    for name, key in (("lineitem", "l_orderkey"), ("orders", "o_orderkey")):
+    names, keys = {}, {"lineitem": "l_orderkey", "orders": "o_orderkey"}
+    buckets = max(FEW_BUCKETS, *[plain.buckets_for(table(spark, sf, name)) for name in keys])
+    for name, key in keys.items():
         path = fresh_dir(spark, name)
         names[name] = f"tideline_{path.rsplit('/', 1)[1].replace('-', '_')}"
-        plain.save_bucketed(table(spark, sf, name), names[name], [key], FEW_BUCKETS, path)
+        plain.save_bucketed(table(spark, sf, name), names[name], [key], buckets, path)
     lines, orders = (landed.read_table(spark, names[name]) for name in ("lineitem", "orders"))
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     per_order = joined.groupBy("o_orderkey", "o_orderpriority").agg(F.count("*").alias("n_lines"), money_sum("l_extendedprice").alias("total"))

@@ -11,6 +11,9 @@ from tideline.declared import declare
 from tideline.functions.dates import AsOf, day
 from tideline.operators.quality import watched_keys
 
+#: Rows of a bucket, which one task sorts and one task joins.
+BUCKET_ROWS = 1_000_000
+
 
 def append_snapshot(
     df: DataFrame, path: str, as_of: AsOf = None, column: str = "snapshot_date", keys: Sequence[str] = (), report: dict | None = None
@@ -43,6 +46,14 @@ def full_refresh(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def buckets_for(df: DataFrame, rows: int = BUCKET_ROWS) -> int:
+    """The power of two of buckets that hold at most ``rows`` each on average, so that a larger table has more, not larger ones.
+
+    Tables that are to be joined on their buckets take the largest number any of them needs.
+    """
+    return 1 << (max(-(-df.count() // rows), 1) - 1).bit_length()
+
+
 def save_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str | None = None) -> DataFrame:
     """Replace a catalog table by ``df``, bucketed and sorted by ``keys``; returns the table as stored.
 
