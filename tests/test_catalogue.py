@@ -54,3 +54,22 @@ def test_grid_is_days_times_categories(spark):
 def test_keyed_outputs_are_unique_and_complete(spark, name, keys):
     out = entry.queries()[name](spark, SF_DIR)
     assert quality.duplicate_keys(out, keys).isEmpty() and quality.null_keys(out, keys).isEmpty()
+
+
+def test_pages_of_listings_are_dealt_before_they_are_parsed(spark, monkeypatch):
+    pages = []
+    real = catalogue.ingest.listing_rows
+    monkeypatch.setattr(catalogue.ingest, "listing_rows", lambda *frames: pages.extend(frames) or real(*frames))
+    catalogue.QUERIES["listing_ingest"](spark, SF_DIR)
+    for rendered in pages:
+        assert "RepartitionByExpression" in rendered._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_catalog_tables_have_more_buckets_for_more_rows(spark, monkeypatch):
+    dealt = []
+    real = catalogue.plain.save_bucketed
+    monkeypatch.setattr(catalogue.plain, "buckets_for", lambda df: -(-df.count() // 500))
+    monkeypatch.setattr(catalogue.plain, "save_bucketed", lambda df, name, keys, buckets, path: dealt.append(buckets) or real(df, name, keys, buckets, path))
+    catalogue.QUERIES["catalog_tables"](spark, SF_DIR)
+    lines = catalogue.table(spark, SF_DIR, "lineitem").count()
+    assert dealt == [-(-lines // 500)] * 2 and dealt[0] > catalogue.FEW_BUCKETS

@@ -1030,7 +1030,8 @@ def permit_ingest(spark, sf):
 @query
 def listing_ingest(spark, sf):
     """Pages rendered from customers: listing cards per market segment and their detail pages."""
-    customer = table(spark, sf, "customer")
+    # Dealt to many tasks: a small file is one task, and a row of it becomes a page to parse.
+    customer = table(spark, sf, "customer").repartition("c_custkey")
     link = F.concat(F.lit("/apa/"), F.col("c_custkey").cast("string"))
     missing = F.col("c_nationkey") == 3
     card = F.concat(
