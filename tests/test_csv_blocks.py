@@ -2,6 +2,7 @@ import csv
 import io
 import random
 
+import pyarrow as pa
 import pytest
 from conftest import rows
 
@@ -99,3 +100,12 @@ def test_files_without_line_breaks_are_not_shuffled(spark, tmp_path):
     path = write(tmp_path, {"s=1/a.csv": "A,B\n" + "1,2\n" * 50})
     plan = csv_blocks.read_csv_blocks(spark, path, ["A", "B"], ["s"])._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning" not in plan and plan.count("FileScan text") == 1
+
+
+def test_the_pass_that_counts_quotes_gives_rows_of_blocks_not_of_lines():
+    names = {"value": ["h", "1", '"2', '3"', "4"], "_file": ["f"] * 4 + ["g"], "_block": [0] * 5, "_length": [9] * 5}
+    [found] = csv_blocks._counted_blocks([pa.RecordBatch.from_pydict(names)])
+    assert found.drop_columns(["_length", "_block"]).to_pylist() == [
+        {"_file": "f", "_number": 3, "_odd": 0, "_start0": 2, "_start1": 3, "_any": 1, "_head": "h"},
+        {"_file": "g", "_number": 0, "_odd": 0, "_start0": 0, "_start1": -1, "_any": 0, "_head": "4"},
+    ]

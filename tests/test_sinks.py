@@ -281,3 +281,13 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path, capsys):
 
 def test_number_of_buckets_follows_the_rows(spark):
     assert [plain.buckets_for(spark.range(n), rows=10) for n in (0, 1, 10, 11, 20, 21, 79)] == [1, 1, 1, 2, 2, 4, 8]
+
+
+def test_staged_rows_are_sorted_by_their_own_key_first(spark, tmp_path, monkeypatch):
+    asked = []
+    real = keyed.latest_per_key
+    monkeypatch.setattr(keyed, "latest_per_key", lambda rows, keys, order_by: asked.append(keys) or real(rows, keys, order_by))
+    staged = spark.createDataFrame([("s", "d", "a", 1), ("s", "d", "a", 2)], "stage string, day string, id string, at int")
+    keyed.staged_merge(spark, str(tmp_path / "t"), staged, "stage", "day", ["id"], [], ["at"])
+    assert asked == [["id", "stage", "day"]]
+    assert rows(keyed.read_merged(spark, str(tmp_path / "t")).select("id", "at")) == [("a", 2)]

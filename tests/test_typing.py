@@ -47,3 +47,11 @@ def test_positive_flag_treats_nan_two_ways(spark):
 def test_ratio_guards_zero(spark):
     frame = spark.createDataFrame([(6.0, 2.0), (6.0, 0.0), (6.0, None), (None, 2.0)], "a double, b double")
     assert rows(frame.select(ty.ratio(F.col("a"), F.col("b")))) == [(3.0,), (None,), (None,), (None,)]
+
+
+def test_markers_are_taken_out_before_the_cast_of_texts_and_typed_numbers_stay(spark):
+    df = spark.createDataFrame([("nan", 1, 0.5), ("2.5", None, float("nan"))], "t string, i int, d double")
+    for read in (ty.strict_double, ty.clean_double):
+        out = df.select(*[read(F.col(c)).alias(c) for c in df.columns])
+        assert rows(out) == [(None, 1.0, 0.5), (2.5, None, None)]
+        assert "nan" in out._jdf.queryExecution().optimizedPlan().toString()

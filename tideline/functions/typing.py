@@ -27,6 +27,11 @@ def not_marker(text: Column, markers: Sequence[str] = NULL_MARKERS) -> Column:
     return ~text.isin(*markers)
 
 
+def _unmarked(text: Column) -> Column:
+    """Without markers, of which a cast to a number only finds out by an exception; numbers may be typed already."""
+    return F.when(~text.cast("string").isin(*NULL_MARKERS), text)
+
+
 def try_double(text: Column) -> Column:
     """Text to double, null when it is no number. NaN and infinities are kept.
 
@@ -41,12 +46,12 @@ def drop_nan(number: Column) -> Column:
 
 def clean_double(text: Column) -> Column:
     """Text to double with both bad text and NaN turned into null."""
-    return drop_nan(try_double(text))
+    return drop_nan(try_double(_unmarked(text)))
 
 
 def strict_double(text: Column) -> Column:
     """Text to double, NaN to null; under ANSI bad text fails the job."""
-    return drop_nan(text.cast("double"))
+    return drop_nan(_unmarked(text).cast("double"))
 
 
 def round_to_int(number: Column) -> Column:

@@ -66,12 +66,18 @@ def _rows(spark: SparkSession, path: str, table: dict, names: Sequence[str]) ->
     return found
 
 
+def _sorted_by(keys: Sequence[str], bucket_by: Sequence[str]) -> list[str]:
+    """The keys in the order in which a sort should compare them: stages and slices, which many rows share, come last."""
+    return list(dict.fromkeys([*bucket_by, *keys]))
+
+
 def _latest(rows: DataFrame, table: dict) -> DataFrame:
     """One row per key, the one appended last when rows tie; of a table of slices all rows that came with it."""
     order = [F.desc_nulls_last(c) for c in [*table["order_by"], "batch"]]
+    keys = [*_sorted_by(table["keys"], table["bucket_by"]), BUCKET]
     if not table["slices"]:
-        return first_per_key(rows, [BUCKET, *table["keys"]], order)
-    rank = F.rank().over(Window.partitionBy(BUCKET, *table["keys"]).orderBy(*order))
+        return first_per_key(rows, keys, order)
+    rank = F.rank().over(Window.partitionBy(*keys).orderBy(*order))
     return rows.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
@@ -102,10 +108,16 @@ def has_batch(spark: SparkSession, path: str, batch: str) -> bool:
     return any(name.split("-", 1)[1] == batch for name in {*_written(spark, path), *_covered(spark, path)})
 
 
-def read_keyed(spark: SparkSession, path: str) -> DataFrame:
-    """The table as it stands: one row per key."""
-    table = declaration(spark, path)
-    return _merged(spark, path, table, _live(spark, path)).drop("batch", BUCKET)
+def read_keyed(spark: SparkSession, path: str, only: DataFrame | None = None) -> DataFrame:
+    """The table as it stands: one row per key; with ``only``, which holds values of some key columns, the rows of those.
+
+    Rows of other keys are sorted out before the folders are merged, and the merge follows in the same tasks.
+    """
+    table, names = declaration(spark, path), _live(spark, path)
+    if only is None:
+        return _merged(spark, path, table, names).drop("batch", BUCKET)
+    rows = _rows(spark, path, table, names).join(only, only.columns, "left_semi")
+    return (rows if len(names) == 1 else _latest(rows, table)).drop("batch", BUCKET)
 
 
 def _write(df: DataFrame, folder: str, layout: Sequence[str]) -> None:
@@ -135,6 +147,7 @@ def upsert(
     partitions: Sequence[str] = (),
     batch: str | None = None,
     slices: bool = False,
+    unique: bool = False,
     report: dict | None = None,
     **declared,
 ) -> None:
@@ -146,6 +159,7 @@ def upsert(
     ``bucket_by``, which says how compacted rows are laid out, and ``partitions`` must be part of the key.
     With ``slices`` a key stands for all rows that a batch has for it, which replace those of earlier batches
     together; ``order_by`` should then be equal in all rows of a slice, or empty.
+    ``unique`` says that ``incoming`` has one row per key already, so that it is written without a shuffle.
     ``report`` receives ``n_rows`` and ``n_null_keys`` of ``incoming`` and ``n_stored``, the rows written, all counted
     by the job that writes; it stays as it is when the batch was there already.
     """
@@ -157,7 +171,7 @@ def upsert(
     rows = like_declared(incoming, table) if table else incoming
     table = declare(spark, path, table and schema_of(table) or incoming.schema, **layout, **declared)
     rows, came = watched_keys(rows, keys) if report is not None else (rows, None)
-    newest = rows if slices else latest_per_key(rows, keys, order_by)
+    newest = rows if slices or unique else latest_per_key(rows, _sorted_by(keys, layout["bucket_by"]), order_by)
     finished = _written(spark, path)
     if batch is not None:
         known = [name for name in finished if name.split("-", 1)[1] == batch]

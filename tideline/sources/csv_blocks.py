@@ -67,6 +67,30 @@ def _lines(spark: SparkSession, path: str, slice_columns: Sequence[str]) -> Data
     return lines.mapInArrow(_numbered_lines, T.StructType(fields + added))
 
 
+def _counted_blocks(batches: Iterator) -> Iterator:
+    """One row per batch and block out of lines: the number of the last line, its state, whether any line ends inside quotes,
+    the last lines that begin a record and the first line of a file."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    for batch in _numbered_lines(batches):
+        n = batch.num_rows
+        files, blocks = batch.column("_file"), batch.column("_block")
+        changes = np.asarray(pc.or_(pc.not_equal(files[1:], files[:-1]), pc.not_equal(blocks[1:], blocks[:-1]))) if n > 1 else []
+        ends = [*np.flatnonzero(changes).tolist(), n - 1]
+        starts = [0, *[end + 1 for end in ends[:-1]]]
+        odd = batch.column("_odd").to_numpy()
+        heads = [
+            batch.column("value")[i].as_py() if blocks[i].as_py() == 0 and batch.column("_number")[i].as_py() == 0 else None for i in starts
+        ]
+        last = batch.select(["_file", "_block", "_length", "_number", "_odd", "_start0", "_start1"]).take(pa.array(ends, pa.int64()))
+        inside = [int(odd[low : high + 1].max()) for low, high in zip(starts, ends)]
+        yield pa.RecordBatch.from_arrays(
+            [*last.columns, pa.array(inside, pa.int32()), pa.array(heads, pa.string())], names=[*last.schema.names, "_any", "_head"]
+        )
+
+
 def _blocks(lines: DataFrame) -> DataFrame:
     """``_file, _block, _length, _inside, _from_block, _from, _header, _breaks`` per block of a file, written once.
 
@@ -74,12 +98,13 @@ def _blocks(lines: DataFrame) -> DataFrame:
     ``_header`` is the first line of the file and ``_breaks`` whether any line of the block ends inside quotes or begins there.
     A file with an odd number of quotes fails the job.
     """
-    counted = lines.groupBy("_file", "_block", "_length").agg(
+    schema = "_file string, _block bigint, _length bigint, _number bigint, _odd int, _start0 bigint, _start1 bigint, _any int, _head string"
+    counted = lines.select("value", "_file", "_block", "_length").mapInArrow(_counted_blocks, schema).groupBy("_file", "_block", "_length").agg(
         F.max_by("_odd", "_number").alias("_odd"),
-        F.max(F.col("_odd")).alias("_any"),
+        F.max("_any").alias("_any"),
         F.max("_start0").alias("_start0"),
         F.max("_start1").alias("_start1"),
-        F.min_by(F.when(F.col("_block") == 0, F.col("value")), "_number").alias("_head"),
+        F.max("_head").alias("_head"),
     )
     of_file = Window.partitionBy("_file").orderBy("_block")
     so_far = of_file.rowsBetween(Window.unboundedPreceding, -1)
@@ -146,6 +171,10 @@ def _is_regular(record: Column) -> Column:
     return ~record.contains('"') | ~undoubled.contains('"')
 
 
+def _without_return(record: Column) -> Column:
+    return F.when(record.endswith("\r"), F.substring(record, F.lit(1), F.length(record) - 1)).otherwise(record)
+
+
 def _picker(columns: Sequence[str], places: Sequence[int | None]) -> Callable[[Column], Column]:
     """Function from parsed values to the wanted columns, each by its place in the header."""
 
@@ -169,11 +198,11 @@ def read_csv_blocks(spark: SparkSession, path: str, columns: Sequence[str], slic
     with ``\\n`` or ``\\r\\n``. Blank lines are no records.
     """
     lines = _lines(spark, path, slice_columns)
-    blocks = _blocks(lines)
+    blocks = _blocks(_file_lines(spark, path, slice_columns))
     headers = [row[0] for row in blocks.select("_header").distinct().collect() if row[0] is not None]
     irregular = F.raise_error(F.concat(F.lit("a quote within a value that is not quoted in "), F.col("_file")))
-    records = _records(lines, blocks, slice_columns).where(F.trim(F.regexp_replace("record", r"\r\z", "")) != "")
-    checked = F.when(_is_regular(F.col("record")), F.regexp_replace("record", r"\r\z", "")).otherwise(irregular)
+    records = _records(lines, blocks, slice_columns).withColumn("_bare", _without_return(F.col("record"))).where(F.trim("_bare") != "")
+    checked = F.when(_is_regular(F.col("record")), F.col("_bare")).otherwise(irregular)
     wanted = T.ArrayType(T.StructType([T.StructField(name, T.StringType()) for name in columns]))
     parsed = F.lit(None).cast(wanted)
     for header in headers:
