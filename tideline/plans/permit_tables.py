@@ -123,11 +123,11 @@ class PermitTables:
     def _clean(self, typed: DataFrame, batch: str, as_of: D.AsOf) -> DataFrame:
         """Clean the batch's permits; the days whose figures can change."""
         keys = written(typed.select(KEY).distinct(), "batch-keys")
-        records = keyed.read_keyed(self.spark, self.path("permits")).join(keys, KEY, "left_semi")
-        records = written(records, "batch-records")
-        after = permits.cleaned(records, self.loaded_at).withColumn("_kept", F.lit(True))
+        records = written(keyed.read_keyed(self.spark, self.path("permits"), keys), "batch-records")
+        # The stored table has one record per permit, so nothing is shuffled to clean them.
+        after = permits.facts(permits.primary(records), self.loaded_at).withColumn("_kept", F.lit(True))
         # A permit whose latest record is no primary application any more leaves the models.
-        gone = records.join(after, KEY, "left_anti").select(KEY, self.loaded_at, F.lit(False).alias("_kept"))
+        gone = records.where(~F.coalesce(permits.is_primary(), F.lit(False))).select(KEY, self.loaded_at, F.lit(False).alias("_kept"))
         after = written(after.unionByName(gone, allowMissingColumns=True), "cleaned")
         before = self._stored("permits_cleaned", after).join(keys, KEY, "left_semi").where("_kept")
         changed = _events(before.unionByName(after.where("_kept"))).distinct()
@@ -141,7 +141,7 @@ class PermitTables:
         place = f"{self.root}/touched/{batch}"
         if not keyed.finished(self.spark, place):
             changed.unionByName(days).distinct().join(F.broadcast(self._calendar(as_of)), "date", "left_semi").write.mode("overwrite").parquet(place)
-        keyed.upsert(self.spark, self.path("permits_cleaned"), after, [KEY], [self.loaded_at], buckets=self.buckets, batch=batch)
+        keyed.upsert(self.spark, self.path("permits_cleaned"), after, [KEY], [self.loaded_at], buckets=self.buckets, batch=batch, unique=True)
         return self.spark.read.schema("date date").parquet(place)
 
     def _daily(self, touched: DataFrame, batch: str, as_of: D.AsOf) -> None:

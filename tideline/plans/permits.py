@@ -137,7 +137,11 @@ def typed(raw: DataFrame, loaded_at: str = "updated_at", nan_is_area: bool = Fal
 
 def primary(records: DataFrame) -> DataFrame:
     """Records of primary applications."""
-    return records.where(F.substring("application_number", PRIMARY_MARK_AT, len(PRIMARY_MARK)) == PRIMARY_MARK)
+    return records.where(is_primary())
+
+
+def is_primary() -> Column:
+    return F.substring("application_number", PRIMARY_MARK_AT, len(PRIMARY_MARK)) == PRIMARY_MARK
 
 
 def cleaning_order(records: DataFrame) -> list[Column]:
@@ -152,7 +156,11 @@ def cleaned(records: DataFrame, loaded_at: str = "updated_at") -> DataFrame:
     Of several records the one whose later of issue and review time is earliest is kept,
     those without either last; the other columns break ties.
     """
-    kept = dedup.first_per_key(primary(records), ["ivr_number"], cleaning_order(records))
+    return facts(dedup.first_per_key(primary(records), ["ivr_number"], cleaning_order(records)), loaded_at)
+
+
+def facts(kept: DataFrame, loaded_at: str = "updated_at") -> DataFrame:
+    """Categories, durations and ratios of records that are primary applications, one per key."""
     times = [F.col(name) for name in ("set_up_at", "under_review_at", "issued_at", "final_at")]
     value = F.coalesce("final_valuation_amt", "submitted_valuation_amt")
     return kept.select(
