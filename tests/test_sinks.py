@@ -291,3 +291,15 @@ def test_staged_rows_are_sorted_by_their_own_key_first(spark, tmp_path, monkeypa
     keyed.staged_merge(spark, str(tmp_path / "t"), staged, "stage", "day", ["id"], [], ["at"])
     assert asked == [["id", "stage", "day"]]
     assert rows(keyed.read_merged(spark, str(tmp_path / "t")).select("id", "at")) == [("a", 2)]
+
+
+def test_rows_of_some_keys_are_read_and_unique_rows_are_stored_as_they_are(spark, tmp_path, monkeypatch):
+    path, wanted = str(tmp_path / "t"), spark.createDataFrame([("a",), ("c",)], "id string")
+    monkeypatch.setattr(keyed, "latest_per_key", lambda *_: pytest.fail("rows that are one per key were ranked"))
+    keyed.upsert(spark, path, batch(spark, ("a", 1, "2024-01-01"), ("b", 2, "2024-01-01")), ["id"], ["loaded_at"], unique=True)
+    assert rows(keyed.read_keyed(spark, path, wanted).select("id", "v")) == [("a", 1)]
+    keyed.upsert(spark, path, batch(spark, ("a", 3, "2024-01-02"), ("c", 4, "2024-01-01")), ["id"], ["loaded_at"], unique=True)
+    assert sorted(rows(keyed.read_keyed(spark, path, wanted).select("id", "v"))) == [("a", 3), ("c", 4)]
+    keyed.compact(spark, path)
+    keyed.upsert(spark, path, batch(spark, ("a", 0, "2023-01-01"), ("b", 5, "2024-01-02")), ["id"], ["loaded_at"], unique=True)
+    assert sorted(rows(keyed.read_keyed(spark, path, wanted).select("id", "v"))) == [("a", 3), ("c", 4)]
