@@ -1,5 +1,7 @@
 """The physical plans keep the shapes the design counts on."""
 
+import re
+
 import pytest
 from conftest import SF_DIR
 
@@ -49,3 +51,20 @@ def test_facts_are_aggregated_before_the_calendar(spark):
 def test_capped_slices_are_cut_before_the_shuffle(spark):
     # Before and after the shuffle, for the parts of a slice and for the slice.
     assert plan(spark, "slice_cap").count("WindowGroupLimit") == 4
+
+
+def largest_method(spark, name, capsys):
+    """Bytes of the largest method that Spark generates for a query."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        entry.queries()[name](spark, SF_DIR).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    return max(int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out))
+
+
+# The JVM compiles no method above 8000 bytes.
+
+
+def test_typed_permits_are_compiled(spark, capsys):
+    assert largest_method(spark, "permits_typed", capsys) < 8000

@@ -89,6 +89,9 @@ PRIMARY_MARK_AT = 12
 CLOSED_STATUSES = ["Expired", "Abandoned"]
 CATEGORY_MIN_SQFT = 100
 
+# The landed event times.
+TIMES = ("SET_UP", "UNDER_REVIEW", "ISSUED", "FINAL")
+
 # First calendar day, start of the window's input, start of the reported series.
 CALENDAR_START = "2009-01-01"
 WARMUP_FROM = "2010-01-01"
@@ -106,7 +109,9 @@ def typed(raw: DataFrame, loaded_at: str = "updated_at", nan_is_area: bool = Fal
         return ty.strict_double(F.col(name))
 
     literal = [ty.positive_flag_nan_high(F.col("TOTAL_SQFT").cast("double")).alias("has_square_footage")]
-    parsed = raw.select(
+    # One lambda for all times: written out per column they would make a method too large for the JVM to compile.
+    times = F.transform(F.array(*[F.col(c).cast("string") for c in (*TIMES, loaded_at)]), ty.try_timestamp)
+    parsed = raw.withColumn("_times", times).select(
         ty.try_int(F.col("IVR_NUMBER")).alias("ivr_number"),
         F.col("APPLICATION_NUMBER").alias("application_number"),
         F.col("STATUS").alias("status"),
@@ -114,7 +119,7 @@ def typed(raw: DataFrame, loaded_at: str = "updated_at", nan_is_area: bool = Fal
         F.col("DESCRIPTION").alias("description"),
         ty.null_if_marker(F.col("WORK")).alias("work"),
         F.col("ADDRESS").alias("address"),
-        *[ty.try_timestamp(F.col(c)).alias(f"{c.lower()}_at") for c in ("SET_UP", "UNDER_REVIEW", "ISSUED", "FINAL")],
+        *[F.col("_times")[i].alias(f"{c.lower()}_at") for i, c in enumerate(TIMES)],
         F.col("NEIGHBORHOOD").alias("neighborhood"),
         F.col("NEIGHBORHOOD_DISTRICT").alias("neighborhood_coalition"),
         *[F.col(c).alias(c.lower()) for c in ("BUSINESS_ASSOCIATION", "OCCUPANCY_GROUP", "CONSTRUCTION_TYPE")],
@@ -127,7 +132,7 @@ def typed(raw: DataFrame, loaded_at: str = "updated_at", nan_is_area: bool = Fal
         ty.try_int(F.col("customer")).alias("customer"),
         number("lon").alias("longitude"),
         number("lat").alias("latitude"),
-        ty.try_timestamp(F.col(loaded_at)).alias(loaded_at),
+        F.col("_times")[len(TIMES)].alias(loaded_at),
     )
     # Built on the parsed numbers, so that no text is parsed twice.
     if not nan_is_area:
