@@ -68,3 +68,7 @@ def largest_method(spark, name, capsys):
 
 def test_typed_permits_are_compiled(spark, capsys):
     assert largest_method(spark, "permits_typed", capsys) < 8000
+
+
+def test_cleaned_permits_are_compiled(spark, capsys):
+    assert largest_method(spark, "permits_cleaned", capsys) < 8000
