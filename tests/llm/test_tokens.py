@@ -1,5 +1,9 @@
 import hashlib
+import os
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -10,6 +14,7 @@ from tokenizers import Tokenizer
 from tideline.llm import chunk_codec, packing, queries, tokens
 
 PATH = queries.TOKENIZER
+ROOT = Path(__file__).resolve().parents[2]
 ODD = [
     "It's A.B., \"x\".. don't I'LL", "ǰ J̌ <|endoftext|> <|STARTOFTEXT|>x <|startoftext|>", "a\x0bb\x0cc\x85d\xa0e f\x1cg", "", "  \n",
     "１２ ½ ǅ ß ẞ Σας ΣΑΣ İI 中文字 한국 é ́a", "x.,y ., ,. a.é, é. '.s 's 'S ’s", "1990s, 3.14. a1. b2,", "z" * 5000, "中" * 3000 + " a",
@@ -136,3 +141,21 @@ def test_shortest_pack_first_matches_brute_force():
             assert (held[first : first + count] == offset).all()
             held[first : first + count] += length
         assert sorted(held) == sorted(packs) and sum(r[2] for r in runs) == 400
+
+
+def test_an_encoder_starts_no_threads():
+    code = """
+import os, random
+from tideline.llm import queries, tokens
+encoder = tokens.Encoder(queries.TOKENIZER)
+before = len(os.listdir("/proc/self/task"))
+draw = random.Random(1)
+texts = [" ".join("".join(draw.choices("abcdefgh", k=9)) for _ in range(2000)).encode() for _ in range(4)]
+ids, at = encoder.encode(texts)
+assert len(at) == 5 and len(ids) >= 8000
+print(len(os.listdir("/proc/self/task")) - before)
+"""
+    # In a process of its own, as other tests may have started threads in this one.
+    env = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, env=env, capture_output=True, text=True, check=True)
+    assert done.stdout.strip() == "0"

@@ -158,7 +158,9 @@ def learn(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     )
     found = sample.select("id", "lang", F.explode(F.array_distinct(spread)).alias("window")).filter(F.col("window").rlike(r"\p{L}"))
     found = sorted((r.lang, r.id, r.window) for r in found.collect())
-    return train([w.encode() for _, _, w in found], [lang for lang, _, _ in found])
+    model = train([w.encode() for _, _, w in found], [lang for lang, _, _ in found])
+    tokens.trim()  # the driver lives on
+    return model
 
 
 def _predict(model: Model | None):

@@ -11,6 +11,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import os
 from functools import cache
 from itertools import chain, repeat
 
@@ -25,6 +26,8 @@ class Encoder:
     def __init__(self, path: str, most_words: int | None = None):
         from tokenizers import Tokenizer
 
+        # A task has one core; threads of the library would each keep memory of their own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
