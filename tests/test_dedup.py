@@ -64,3 +64,13 @@ def test_ties_fall_the_same_way(spark):
     frame = spark.createDataFrame([(1, 1, "a"), (1, 1, "b")], "k int, o int, v string")
     assert rows(dedup.latest_non_null(frame, ["k"], ["v"], ["o"])) == [(1, 1, "b")]
     assert rows(dedup.latest_per_key(frame, ["k"], ["o"])) == [(1, 1, "b")]
+
+
+def test_a_row_is_shuffled_once_and_not_beside_its_order(spark):
+    frame = spark.createDataFrame([(1, "r", 2, "x"), (1, None, 3, "y"), (2, None, None, "z")], "k int, review string, at int, note string")
+    out = dedup.latest_non_null(frame, ["k"], ["review"], ["at"])
+    assert rows(out, "k") == [(1, "r", 3, "y"), (2, None, None, "z")]
+    sent = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "partial_max" in line]
+    assert sent and not any("max_by" in line or line.split("functions=")[0].count("note") > 1 for line in sent)
+    # Columns of the order may be merged as well.
+    assert rows(dedup.latest_non_null(frame, ["k"], ["review", "at"], ["at"]), "k") == [(1, "r", 3, "y"), (2, None, None, "z")]

@@ -303,3 +303,17 @@ def test_rows_of_some_keys_are_read_and_unique_rows_are_stored_as_they_are(spark
     keyed.compact(spark, path)
     keyed.upsert(spark, path, batch(spark, ("a", 0, "2023-01-01"), ("b", 5, "2024-01-02")), ["id"], ["loaded_at"], unique=True)
     assert sorted(rows(keyed.read_keyed(spark, path, wanted).select("id", "v"))) == [("a", 3), ("c", 4)]
+
+
+def test_writes_leave_no_shuffle_files_and_stages_are_written_without_another_shuffle(spark, tmp_path, monkeypatch):
+    store = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    monkeypatch.setattr("tideline.session.shared_dir", lambda _: str(tmp_path / "scratch"))
+    monkeypatch.setattr("pyspark.sql.DataFrame.hint", lambda *_: pytest.fail("rows that are shuffled already were rebalanced"))
+    staged = spark.createDataFrame([(s, "d", str(i % 50), i) for i in range(100) for s in "ab"], "stage string, day string, id string, at int")
+    before = store.getAllFiles().size()
+    counted = written(staged.groupBy("id").agg(F.max("at").alias("at")), "counted")
+    keyed.staged_merge(spark, str(tmp_path / "t"), staged, "stage", "day", ["id"], [], ["at"])
+    assert store.getAllFiles().size() <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert sorted(rows(keyed.read_merged(spark, str(tmp_path / "t")).select("id", "at"))) == sorted(rows(counted))
+    assert {p.name for p in (tmp_path / "t").glob("batch=*/stage=*")} == {"stage=a", "stage=b"}

@@ -19,7 +19,7 @@ from tideline.functions.rules import Rule, categorise
 from tideline.operators import calendar, dedup, quality, report, rolling, rollup
 from tideline.plans import ingest, permits
 from tideline.plans import permit_tables as stored
-from tideline.session import fresh_dir, written
+from tideline.session import fresh_dir, remove_folder, shuffles_removed, written
 from tideline.sinks import keyed, plain
 from tideline.sources import html, landed, slices
 from tideline.sources.csv_blocks import read_csv_blocks
@@ -1018,9 +1018,11 @@ def permit_ingest(spark, sf):
     # A slice carries only its own event date, as the feed's answers would before the others exist.
     for stage, at in {"review": "UNDER_REVIEW", "issued": "ISSUED", "final": "FINAL"}.items():
         landing = landing.withColumn(at, F.when(F.col("date_type") == stage, F.col(at)).otherwise(F.lit("nan")))
-    landing.write.partitionBy("date_type", "slice_date").option("header", True).csv(f"{folder}/landing")
+    with shuffles_removed(spark):
+        landing.write.partitionBy("date_type", "slice_date").option("header", True).csv(f"{folder}/landing")
     rows = ingest.permit_rows(spark, f"{folder}/landing")
     merged = ingest.ingest_permits(rows, f"{folder}/staging", "2002-01-01", FEW_BUCKETS, "all")
+    remove_folder(spark, f"{folder}/landing")  # only what is staged is read from here on
     return merged.select(
         "ivr_number", "application_number", "under_review", "issued", "final", "work", "total_sqft",
         "submitted_valuation", F.round("lon", 9).alias("lon"), F.round("lat", 9).alias("lat"),

@@ -37,16 +37,16 @@ def latest_non_null(
     not depend on arrival order.
     """
     rest = [name for name in df.columns if name not in {*keys, *merge_columns}]
-    moment = [F.col(name) for name in order_by]
+    at = {name: f"_at{i}" for i, name in enumerate(order_by)}
+    moment = [F.col(name).alias(place) for name, place in at.items()]
 
     def latest(name: str) -> Column:
         value = F.col(name)
-        return F.max_by(F.when(value.isNotNull(), value), F.when(value.isNotNull(), F.struct(*moment, value)))
+        return F.max(F.when(value.isNotNull(), F.struct(*moment, value.alias("_value"))))["_value"]
 
     merged = [latest(name).alias(name) for name in merge_columns]
-    if rest:
-        row = F.struct(*[F.col(name) for name in rest])
-        merged.append(F.max_by(row, F.struct(*moment, *[F.col(n) for n in rest if n not in order_by])).alias("_row"))
+    if rest:  # the greatest of structs, so that a row is shuffled once and not beside its order
+        merged.append(F.max(F.struct(*moment, *[F.col(n) for n in rest if n not in at])).alias("_row"))
     grouped = df.groupBy(*keys).agg(*merged)
-    picked = {name: F.col(f"_row.{name}").alias(name) for name in rest}
+    picked = {name: F.col(f"_row.{at.get(name, name)}").alias(name) for name in rest}
     return grouped.select(*[picked.get(name, F.col(name)) for name in df.columns])

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tideline.declared import declaration, declare, exists, files, like_declared, schema_of
 from tideline.operators.dedup import first_per_key, latest_non_null, latest_per_key
 from tideline.operators.quality import watched, watched_keys
+from tideline.session import shuffles_removed
 
 BUCKET = "key_bucket"
 
@@ -120,10 +121,14 @@ def read_keyed(spark: SparkSession, path: str, only: DataFrame | None = None) ->
     return (rows if len(names) == 1 else _latest(rows, table)).drop("batch", BUCKET)
 
 
-def _write(df: DataFrame, folder: str, layout: Sequence[str]) -> None:
+def _gathered(df: DataFrame, layout: Sequence[str]) -> DataFrame:
     """Rebalancing gathers the rows of a folder but splits a large one over several tasks."""
-    df = df.hint("rebalance", *layout) if layout else df
-    df.write.mode("overwrite").partitionBy(*layout).parquet(folder)
+    return df.hint("rebalance", *layout) if layout else df
+
+
+def _write(df: DataFrame, folder: str, layout: Sequence[str]) -> None:
+    with shuffles_removed(df.sparkSession):
+        df.write.mode("overwrite").partitionBy(*layout).parquet(folder)
 
 
 def _same_rows(a: DataFrame, b: DataFrame, but: Sequence[str]) -> bool:
@@ -148,6 +153,7 @@ def upsert(
     batch: str | None = None,
     slices: bool = False,
     unique: bool = False,
+    gather: bool = True,
     report: dict | None = None,
     **declared,
 ) -> None:
@@ -160,6 +166,7 @@ def upsert(
     With ``slices`` a key stands for all rows that a batch has for it, which replace those of earlier batches
     together; ``order_by`` should then be equal in all rows of a slice, or empty.
     ``unique`` says that ``incoming`` has one row per key already, so that it is written without a shuffle.
+    Without ``gather``, for ``partitions`` of few values, each task writes to all their folders, which spares a shuffle of the rows.
     ``report`` receives ``n_rows`` and ``n_null_keys`` of ``incoming`` and ``n_stored``, the rows written, all counted
     by the job that writes; it stays as it is when the batch was there already.
     """
@@ -183,6 +190,7 @@ def upsert(
             return
     number = 1 + max((int(name.split("-", 1)[0]) for name in finished), default=0)
     newest, stored = watched(newest, "n_stored") if report is not None else (newest, None)
+    newest = _gathered(newest, table["partitions"]) if gather else newest
     _write(newest, f"{path}/batch={number:08d}-{batch or uuid.uuid4().hex}", table["partitions"])
     if report is not None:
         report.update(came.get | stored.get)
@@ -202,7 +210,8 @@ def compact(spark: SparkSession, path: str) -> list[str]:
     if len(live) < 2:
         return []
     name = f"{live[-1].split('-', 1)[0]}-{_COMPACTED}{uuid.uuid4().hex}"
-    _write(_merged(spark, path, table, live).drop("batch"), f"{path}/batch={name}", [*table["partitions"], BUCKET])
+    layout = [*table["partitions"], BUCKET]
+    _write(_gathered(_merged(spark, path, table, live).drop("batch"), layout), f"{path}/batch={name}", layout)
     _record(spark, f"{path}/_covered={name}", live)
     return live
 
@@ -244,6 +253,7 @@ def staged_merge(
         buckets=buckets,
         bucket_by=keys,
         partitions=[stage],
+        gather=False,
         batch=batch,
         report=report,
         merge={"keys": list(keys), "columns": list(merge_columns)},
