@@ -97,3 +97,21 @@ def test_batches_give_what_a_full_refresh_gives(spark, tmp_path, monkeypatch):
     for name in ("permits_cleaned", "permits_by_date", "permits_by_date_and_work_type", "rolling_permits_by_function_type"):
         same(stored.read(name, AS_OF), models[name])
     assert stored.this_week("2017-01-01").columns == permits.this_week(models["permits_cleaned"], "2017-01-01").columns
+
+
+def test_batches_leave_no_copies_of_records(spark, tmp_path, monkeypatch):
+    scratch = tmp_path / "scratch"
+    monkeypatch.setattr("tideline.session.shared_dir", lambda _: str(scratch))
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    draw, stored = random.Random(9), tables(spark, tmp_path / "t")
+    wrote = []
+    first, second = ([record(draw, k, load, ["Duplex"]) for k in range(low, 20)] for load, low in ((1, 0), (2, 17)))
+    before = disk.getAllFiles().size()
+    monkeypatch.setattr(PermitTables, "_trailing", lambda *_: wrote.append({p.name.rsplit("-", 1)[0] for p in scratch.iterdir()}))
+    monkeypatch.setattr(PermitTables, "_daily", lambda *_: wrote.append(disk.getAllFiles().size() - before))
+    stored.apply(raw(spark, *first), "0", AS_OF)
+    stored.apply(raw(spark, *second), "1", AS_OF)
+    assert [x for x in wrote if isinstance(x, set) and x & {"batch-keys", "batch-records", "cleaned"}] == []
+    assert len(wrote) == 4 and all(x <= 0 for x in wrote if isinstance(x, int))
+    latest = {r["IVR_NUMBER"]: r for r in [*first, *second]}
+    same(stored.read("permits_cleaned"), permits.cleaned(permits.typed(raw(spark, *latest.values()))))

@@ -317,3 +317,15 @@ def test_writes_leave_no_shuffle_files_and_stages_are_written_without_another_sh
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
     assert sorted(rows(keyed.read_merged(spark, str(tmp_path / "t")).select("id", "at"))) == sorted(rows(counted))
     assert {p.name for p in (tmp_path / "t").glob("batch=*/stage=*")} == {"stage=a", "stage=b"}
+
+
+def test_rows_of_other_keys_are_sorted_out_before_the_shuffle(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for at in ("2024-01-01", "2024-01-02"):
+        keyed.upsert(spark, path, batch(spark, *[(str(i) if i else None, i, at) for i in range(100)]), ["id"], ["loaded_at"])
+    read = keyed.read_keyed(spark, path, spark.createDataFrame([("7",), ("x",), (None,)], "id string"))
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "bitmap_construct_agg" in plan and rows(read.select("id", "v")) == [("7", 7)]
+    # Keys of another type match as a join matches them.
+    other = keyed.read_keyed(spark, path, spark.createDataFrame([(7,)], "id int"))
+    assert rows(other.select("id", "v")) == [("7", 7)]

@@ -19,7 +19,7 @@ from tideline.functions.rules import Rule, categorise
 from tideline.operators import calendar, dedup, quality, report, rolling, rollup
 from tideline.plans import ingest, permits
 from tideline.plans import permit_tables as stored
-from tideline.session import fresh_dir, remove_folder, shuffles_removed, written
+from tideline.session import fresh_dir, remove, remove_folder, shuffles_removed, written
 from tideline.sinks import keyed, plain
 from tideline.sources import html, landed, slices
 from tideline.sources.csv_blocks import read_csv_blocks
@@ -952,9 +952,11 @@ def permit_tables(spark, sf):
     tables = stored.PermitTables(
         spark, fresh_dir(spark, "permit-tables"), start=SPINE_START, warmup_from=WARMUP_FROM, report_from=REPORT_FROM, buckets=FEW_BUCKETS
     )
-    records = permits.typed(raw_permits(spark, sf))
-    last = dedup.first_per_key(permits.primary(records), ["ivr_number"], permits.cleaning_order(records))
+    # Written in between, so that the shuffles of the lookups are gone before the records are shuffled.
+    records = written(permits.primary(permits.typed(raw_permits(spark, sf))), "records")
+    last = dedup.first_per_key(records, ["ivr_number"], permits.cleaning_order(records))
     right = written(landed_again(last), "landed")
+    remove(records)
     # The shipped date, the area and the kind of application of the wrong ones are others.
     moved = F.date_add(F.col("ISSUED").try_cast("date"), 40).cast("string")
     wrong = right.withColumns({"ISSUED": F.coalesce(moved, F.lit("1996-02-29")), "TOTAL_SQFT": F.lit("90000"), "TYPE": F.lit("Assembly")})

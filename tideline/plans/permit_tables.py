@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tideline.functions import dates as D
 from tideline.operators import calendar
 from tideline.plans import permits
-from tideline.session import written
+from tideline.session import remove, shuffles_removed, written
 from tideline.sinks import keyed
 
 KEY = "ivr_number"
@@ -85,10 +85,10 @@ class PermitTables:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _stored(self, name: str, like: DataFrame) -> DataFrame:
-        """A table as it stands, empty before the first batch."""
+    def _stored(self, name: str, like: DataFrame, keys: DataFrame) -> DataFrame:
+        """Rows of some keys of a table as it stands, empty before the first batch."""
         path = self.path(name)
-        return keyed.read_keyed(self.spark, path) if keyed.is_table(self.spark, path) else like.limit(0)
+        return keyed.read_keyed(self.spark, path, keys) if keyed.is_table(self.spark, path) else like.limit(0)
 
     def read(self, name: str, as_of: D.AsOf = None) -> DataFrame:
         """A model as its plan function gives it: ``permits_cleaned``, ``permits_by_date``, ``permits_by_date_and_<category>``,
@@ -123,13 +123,18 @@ class PermitTables:
     def _clean(self, typed: DataFrame, batch: str, as_of: D.AsOf) -> DataFrame:
         """Clean the batch's permits; the days whose figures can change."""
         keys = written(typed.select(KEY).distinct(), "batch-keys")
-        records = written(keyed.read_keyed(self.spark, self.path("permits"), keys), "batch-records")
+        own = keyed.is_only_batch(self.spark, self.path("permits"), batch)
+        records = keyed.read_keyed(self.spark, self.path("permits"), None if own else keys)
+        # The first batch's records are read from where they are stored.
+        records = records if own else written(records, "batch-records")
         # The stored table has one record per permit, so nothing is shuffled to clean them.
         after = permits.facts(permits.primary(records), self.loaded_at).withColumn("_kept", F.lit(True))
         # A permit whose latest record is no primary application any more leaves the models.
         gone = records.where(~F.coalesce(permits.is_primary(), F.lit(False))).select(KEY, self.loaded_at, F.lit(False).alias("_kept"))
         after = written(after.unionByName(gone, allowMissingColumns=True), "cleaned")
-        before = self._stored("permits_cleaned", after).join(keys, KEY, "left_semi").where("_kept")
+        if not own:
+            remove(records)
+        before = self._stored("permits_cleaned", after, keys).where("_kept")
         changed = _events(before.unionByName(after.where("_kept"))).distinct()
         # What earlier days know only of days after them changes with the day the tables are computed for.
         days = self._calendar(as_of)
@@ -140,8 +145,11 @@ class PermitTables:
         # Written before the cleaned rows, so that a repeat of a batch that has died finds the same days.
         place = f"{self.root}/touched/{batch}"
         if not keyed.finished(self.spark, place):
-            changed.unionByName(days).distinct().join(F.broadcast(self._calendar(as_of)), "date", "left_semi").write.mode("overwrite").parquet(place)
+            touched = changed.unionByName(days).distinct().join(F.broadcast(self._calendar(as_of)), "date", "left_semi")
+            with shuffles_removed(self.spark):
+                touched.write.mode("overwrite").parquet(place)
         keyed.upsert(self.spark, self.path("permits_cleaned"), after, [KEY], [self.loaded_at], buckets=self.buckets, batch=batch, unique=True)
+        remove(keys, after)
         return self.spark.read.schema("date date").parquet(place)
 
     def _daily(self, touched: DataFrame, batch: str, as_of: D.AsOf) -> None:

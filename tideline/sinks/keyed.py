@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tideline.declared import declaration, declare, exists, files, like_declared, schema_of
+from tideline.operators.bitmaps import bitmap, marked
 from tideline.operators.dedup import first_per_key, latest_non_null, latest_per_key
 from tideline.operators.quality import watched, watched_keys
 from tideline.session import shuffles_removed
@@ -104,6 +105,12 @@ def is_table(spark: SparkSession, path: str) -> bool:
     return declaration(spark, path) is not None and bool(_written(spark, path))
 
 
+def is_only_batch(spark: SparkSession, path: str, batch: str) -> bool:
+    """Whether a batch holds all rows of the table, so that every key is one of its own."""
+    live = _live(spark, path)
+    return len(live) == 1 and _COMPACTED not in live[0] and live[0].split("-", 1)[1] == batch
+
+
 def has_batch(spark: SparkSession, path: str, batch: str) -> bool:
     """Whether a batch of that name has been appended, even if a compaction holds its rows now."""
     return any(name.split("-", 1)[1] == batch for name in {*_written(spark, path), *_covered(spark, path)})
@@ -112,12 +119,17 @@ def has_batch(spark: SparkSession, path: str, batch: str) -> bool:
 def read_keyed(spark: SparkSession, path: str, only: DataFrame | None = None) -> DataFrame:
     """The table as it stands: one row per key; with ``only``, which holds values of some key columns, the rows of those.
 
-    Rows of other keys are sorted out before the folders are merged, and the merge follows in the same tasks.
+    Rows of other keys are sorted out before the folders are merged, nearly all by a bitmap before they are shuffled, and the
+    merge follows in the same tasks.
     """
     table, names = declaration(spark, path), _live(spark, path)
     if only is None:
         return _merged(spark, path, table, names).drop("batch", BUCKET)
-    rows = _rows(spark, path, table, names).join(only, only.columns, "left_semi")
+    rows = _rows(spark, path, table, names)
+    # Equal values of other types, which the join may still match, have other hashes.
+    if all(rows.schema[c].dataType == only.schema[c].dataType for c in only.columns):
+        rows = marked(rows, bitmap(only), [F.col(f"`{c}`") for c in only.columns], "_only").where("_only").drop("_only")
+    rows = rows.join(only, only.columns, "left_semi")
     return (rows if len(names) == 1 else _latest(rows, table)).drop("batch", BUCKET)
 
 
